@@ -125,9 +125,9 @@ def filtered_edge_table(
 
 def spectrum_shards(spark: SparkSession, source: str, path: str, max_bytes: float) -> DataFrame:
     """Split spectrum files into shards below ``max_bytes``; returns the bin of each record."""
-    records = read_records(spark, source).withColumn(
-        "name", F.element_at(F.split("file", "/"), -1)
-    )
+    # file names may repeat in different folders, so a piece of the path hash goes with them
+    name = F.concat_ws(".", F.element_at(F.split("file", "/"), -1), F.substring(F.md5("file"), 1, 8))
+    records = read_records(spark, source).withColumn("name", name)
     bins = stage(
         pack(records, "name", "row", F.octet_length("text"), max_bytes, segment=F.col("block")), "bins"
     )
