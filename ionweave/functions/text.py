@@ -19,11 +19,11 @@ def cluster_id(header: Column, on_error: str = "raise") -> Column:
     ``on_error="raise"`` fails the job on a header without such a field;
     ``"null"`` gives null instead.
     """
-    parts = F.split(header, r"\.")
+    field = F.split_part(header, F.lit("."), F.lit(2))
     if on_error == "raise":
-        return F.element_at(parts, 2).cast("bigint")
+        return field.cast("bigint")
     if on_error == "null":
-        return F.try_element_at(parts, F.lit(2)).try_cast("bigint")
+        return field.try_cast("bigint")
     raise ValueError(f"on_error is 'raise' or 'null', not {on_error!r}")
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ionweave.functions.text import DECOY_PATTERN
-from ionweave.operators.ordering import check_sorted, require_sorted, with_batch_id, with_row_index
+from ionweave.operators.ordering import with_batch_id, with_row_index
 
 # Defaults of the confidence filter and the three extent axes.
 Q_COLUMN = "mokapot q-value"
@@ -49,11 +49,9 @@ def filter_edges(
     """Keep edges by a condition on single rows; adds the index each edge had before.
 
     A condition on single rows gives the same for every batch size.  ``order_by`` must
-    be a key; equal neighbours raise.
+    be a key; two edges with the same key fail the job.
     """
-    indexed = with_row_index(edges, order_by, name=index)
-    require_sorted(check_sorted(indexed, order_by, [index]), "edges are not unique by their key")
-    return indexed.where(predicate)
+    return with_row_index(edges, order_by, name=index).where(predicate)
 
 
 def filter_edges_batched(
@@ -70,7 +68,6 @@ def filter_edges_batched(
     holds an edge twice.
     """
     indexed = with_batch_id(with_row_index(edges, order_by, name=index), batch_size, index)
-    require_sorted(check_sorted(indexed, order_by, [index]), "edges are not unique by their key")
     out = query_tables(sql, local_edges=indexed)
     if index not in out.columns:
         raise ValueError(f"the filter dropped {index}")

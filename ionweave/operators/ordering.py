@@ -29,12 +29,27 @@ def _columns(keys: Sequence[str | Column]) -> list[Column]:
     return [F.col(k) if isinstance(k, str) else k for k in keys]
 
 
-def slices(df: DataFrame, keys: Sequence[str | Column], n: int | None = None) -> DataFrame:
-    """Sort by ``keys`` into ``n`` range slices; adds ``_slice`` and ``_row``."""
-    n = n or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def slices(df: DataFrame, keys: Sequence[str | Column], unique: Sequence[str] = ()) -> DataFrame:
+    """Sort by ``keys`` into range slices; adds ``_slice`` and ``_row``.
+
+    ``unique`` names the columns of ``keys`` if no two rows may agree in them; the job fails if
+    some do.  Equal rows are neighbours by then, so this takes no shuffle of its own.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cols = _columns(keys)
     placed = df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
-    placed = placed.withColumn("_place", F.monotonically_increasing_id())
+    place = F.monotonically_increasing_id()
+    if unique:
+        repeat = F.row_number().over(Window.partitionBy(*unique).orderBy(*unique))
+        fault = F.concat(
+            F.lit(f"rows with the same {', '.join(unique)}: "), F.to_json(F.struct(*unique))
+        )
+        placed = placed.withColumn("_repeat", repeat)
+        placed = placed.select(
+            *df.columns, F.when(F.col("_repeat") == 1, place).otherwise(F.raise_error(fault).cast("bigint")).alias("_place")
+        )
+    else:
+        placed = placed.withColumn("_place", place)
     return (
         stage(placed, "slices")
         .withColumn(SLICE, F.shiftright("_place", _ROW_BITS))
@@ -88,12 +103,16 @@ def with_row_index(
 ) -> DataFrame:
     """Dense index 0..n-1 in the order of ``order_by``, per group when ``by`` is given.
 
-    ``order_by`` together with ``by`` should be a key of the table.  With
-    ``unique=False`` a hash of the other columns breaks ties, so that only rows equal in
-    every column may swap places.  ``size_name`` adds the row count of the group.
+    ``order_by`` together with ``by`` must be a key of the table; rows that share a key of
+    plain columns fail the job.  With ``unique=False`` a hash of all columns breaks ties, so
+    that only rows equal in every column may swap places.  ``size_name`` adds the row
+    count of the group.
     """
-    keys = [*by, *order_by] + ([] if unique else [F.xxhash64(*df.columns)])
-    staged = slices(df, keys)
+    keys = [*by, *order_by]
+    if unique:
+        staged = slices(df, keys, keys if all(isinstance(k, str) for k in keys) else ())
+    else:
+        staged = slices(df, [*keys, F.xxhash64(*df.columns)])
     joined = _with_offsets(staged, _piece_offsets(staged, by, F.count(F.lit(1))), by)
     extra = [F.col("_total").alias(size_name)] if size_name else []
     index = (F.col("_before") + F.col(ROW) - F.col("_first")).alias(name)

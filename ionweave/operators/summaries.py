@@ -39,54 +39,79 @@ def table_size(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n"))
 
 
-def distinct_counts(df: DataFrame, metrics: Mapping[str, Column]) -> DataFrame:
-    """Several distinct counts in one pass and one shuffle, as one row.
-
-    Each metric is an array<string> column: the values a row adds to that metric's set, none,
-    one or many.  A null entry counts as a value.  Equal values meet in the map tasks
-    already, so a frequent value is no hot key.
-    """
-    def entry(i: int, values: Column) -> Column:
-        return F.transform(values, lambda v: F.struct(F.lit(i).alias("metric"), v.alias("value")))
-
-    entries = [entry(i, values) for i, values in enumerate(metrics.values())]
-    seen = df.select(F.inline(F.concat(*entries))).distinct()
-    per_metric = seen.groupBy("metric").agg(F.count(F.lit(1)).alias("n"))
-    return per_metric.agg(
-        *[
-            F.coalesce(F.sum(F.when(F.col("metric") == i, F.col("n"))), F.lit(0)).cast("bigint").alias(name)
-            for i, name in enumerate(metrics)
-        ]
-    )
-
-
-def as_values(*columns: Column) -> Column:
-    """One entry for :func:`distinct_counts`; several columns make a compound value."""
-    if len(columns) == 1:
-        return F.array(columns[0].cast("string"))
-    parts = [F.coalesce(F.concat(F.lit("="), c.cast("string")), F.lit("null")) for c in columns]
-    return F.array(F.concat_ws("\x1f", *parts))
+def distinct_counts(df: DataFrame, metrics: Mapping[str, Sequence[str]]) -> DataFrame:
+    """Distinct values of each column group, nulls counted as values, as one row."""
+    return df.agg(*[F.count_distinct(F.struct(*columns)).alias(name) for name, columns in metrics.items()])
+
+
+PSM_METRICS = (
+    "proteins_in_protein_groups",
+    "protein_groups",
+    "peptide_sequences_stripped_of_mods",
+    "peptides_with_mods",
+    "charged_peptides_with_mods",
+    "phosphopeptides",
+    "MS1_ClusterID",
+)
 
 
 def psm_stats(psms: DataFrame) -> DataFrame:
     """Seven distinct counts over identified peptides, as one row.
 
     Protein groups count as written, so the order of members matters here, unlike in
-    :func:`protein_group_stats`.
+    :func:`protein_group_stats`.  One scan and one shuffle find the distinct values of all
+    sets; lists are then taken apart and modifications stripped once per distinct text.
     """
-    peptide = F.col("peptide")
-    phospho = F.filter(F.array(peptide), lambda p: contains_pattern(p, PHOSPHO_PATTERN))
-    return distinct_counts(
-        psms,
-        {
-            "proteins_in_protein_groups": comma_members(F.col("protein_list")),
-            "protein_groups": as_values(F.col("protein_list")),
-            "peptide_sequences_stripped_of_mods": as_values(strip_modifications(peptide)),
-            "peptides_with_mods": as_values(peptide),
-            "charged_peptides_with_mods": as_values(peptide, F.col("charge")),
-            "phosphopeptides": phospho,
-            "MS1_ClusterID": as_values(cluster_id(F.col("spectrum_id"))),
-        },
+    proteins, peptide = F.col("protein_list"), F.col("peptide")
+    columns = psms.select(
+        proteins, peptide, "charge", cluster_id(F.col("spectrum_id")).alias("MS1_ClusterID")
+    )
+    sets = {
+        "protein_groups": ["protein_list"],
+        "peptides_with_mods": ["peptide"],
+        "charged_peptides_with_mods": ["peptide", "charge"],
+        "MS1_ClusterID": ["MS1_ClusterID"],
+    }
+    names = columns.columns
+    # grouping_id has a bit for each column that is not in the set, the first column highest
+    ids = {
+        metric: sum(1 << i for i, c in enumerate(reversed(names)) if c not in members)
+        for metric, members in sets.items()
+    }
+    seen = columns.groupingSets(list(sets.values()), *names).agg(F.grouping_id().alias("set"))
+
+    def entry(metric: str, value: Column) -> Column:
+        return F.struct(F.lit(metric).alias("metric"), value.alias("value"))
+
+    counted = F.lit(None).cast("string")  # counted by rows, so the value itself is not needed
+    members = F.transform(comma_members(proteins), lambda v: entry("proteins_in_protein_groups", v))
+    per_peptide = F.filter(
+        F.array(
+            entry("peptides_with_mods", counted),
+            entry("peptide_sequences_stripped_of_mods", strip_modifications(peptide)),
+            entry("phosphopeptides", counted),
+        ),
+        lambda e: (e["metric"] != "phosphopeptides") | contains_pattern(peptide, PHOSPHO_PATTERN),
+    )
+    one_group = F.array(entry("protein_groups", counted))
+    entries = (
+        F.when(F.col("set") == ids["protein_groups"], F.concat(one_group, F.coalesce(members, F.slice(one_group, 1, 0))))
+        .when(F.col("set") == ids["peptides_with_mods"], per_peptide)
+        .when(
+            F.col("set") == ids["charged_peptides_with_mods"],
+            F.array(entry("charged_peptides_with_mods", counted)),
+        )
+        .otherwise(F.array(entry("MS1_ClusterID", counted)))
+    )
+    values = seen.select(F.inline(entries)).groupBy("metric", "value").agg(F.count(F.lit(1)).alias("rows"))
+    by_value = ("proteins_in_protein_groups", "peptide_sequences_stripped_of_mods")
+    return values.agg(
+        *[
+            F.coalesce(
+                F.sum(F.when(F.col("metric") == m, F.lit(1) if m in by_value else F.col("rows"))), F.lit(0)
+            ).cast("bigint").alias(m)
+            for m in PSM_METRICS
+        ]
     )
 
 
@@ -228,12 +253,10 @@ def search_stats(
     wide = psm_stats(precursors)
     parts = [(wide, wide.columns)]
     if fragments is not None:
-        one = as_values(F.col("MS1_ClusterID"), F.col(ordinal))
-        typed = {
-            f"unique_{t}_fragments": F.when(F.col(kind) == t, one).otherwise(F.array().cast("array<string>"))
-            for t in ("y", "b")
-        }
-        parts.append((distinct_counts(fragments, typed), list(typed)))
+        types = ("y", "b")
+        kinds = fragments.where(F.col(kind).isin(*types)).select("MS1_ClusterID", ordinal, kind).distinct()
+        typed = kinds.agg(*[F.count_if(F.col(kind) == t).alias(f"unique_{t}_fragments") for t in types])
+        parts.append((typed, typed.columns))
     if edges is not None:
         several = F.col("n_fragments") > 1
         counts = edges.agg(

@@ -125,9 +125,7 @@ def psm_stats(spark, d):
 
 
 def compound_distinct(spark, d):
-    return summaries.distinct_counts(
-        T(spark, d, "psm"), {"charged_peptides": summaries.as_values(F.col("peptide"), F.col("charge"))}
-    )
+    return summaries.distinct_counts(T(spark, d, "psm"), {"charged_peptides": ["peptide", "charge"]})
 
 
 def multiplicity(spark, d):

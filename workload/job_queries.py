@@ -67,7 +67,7 @@ def stored_edges(spark, d):
     return jobs.filtered_edge_table(T(spark, d, "edges"), "score > 40", new_path(spark, "edges"))
 
 
-SHARD_LIMIT = 20_000
+SHARD_LIMIT = 200_000
 
 
 def spectrum_shards(spark, d):
