@@ -159,11 +159,13 @@ def edge_features(
     instead of the other way round.
     """
     def ready(nodes: DataFrame, diffs: DataFrame | None, side: str) -> DataFrame:
-        names = [F.col(c).alias(f"{side}_{c}") for c in nodes.columns]
+        # column names do not tell upper from lower case, so ms1_ClusterID is given out last
+        values = [F.col(c).alias(f"{side}_{c}") for c in nodes.columns if c != key]
+        node = F.col(key).alias(f"_{side}_node")
         if diffs is None:
-            return nodes.select(*names, *[F.col(c).alias(f"_{side}_{c}") for c in diff_columns])
+            return nodes.select(node, *values, *[F.col(c).alias(f"_{side}_{c}") for c in diff_columns])
         renamed = diffs.select(key, *[F.col(c).alias(f"_{side}_{c}") for c in diff_columns])
-        return nodes.select(key, *names).join(renamed, key).drop(key)
+        return nodes.select(key, node, *values).join(renamed, key).drop(key)
 
     small = broadcast_rows is not None and broadcast_rows <= 1_000_000
     out = edges
@@ -171,19 +173,23 @@ def edge_features(
         ("ms1", ms1, ms1_diff, "MS1_ClusterID"),
         ("ms2", ms2, ms2_diff, "MS2_ClusterID"),
     ):
-        node_id = F.col(f"{side}_{key}")
-        right = ready(nodes, diffs, side).withColumn(end, node_id)
+        node = f"_{side}_node"
+        right = ready(nodes, diffs, side).withColumn(end, F.col(node))
         if small:  # the edges go to the node table, and only the nodes they need come back
             right = right.join(F.broadcast(edges.select(end).distinct()), end, "left_semi")
             out = out.join(right, end, "left")
         else:
             out = spread_join(out, right, [end], "left", rows_per_task, sketch=edges)
         missing = F.raise_error(F.concat(F.lit(f"edge without {side} node: "), F.col(end).cast("string")))
-        out = out.withColumn(f"{side}_{key}", F.coalesce(node_id, missing.cast(nodes.schema[key].dataType)))
+        out = out.withColumn(node, F.coalesce(node, missing.cast(nodes.schema[key].dataType)))
+
+    def given(nodes: DataFrame, side: str):
+        return [F.col(f"_{side}_node" if c == key else f"{side}_{c}").alias(f"{side}_{c}") for c in nodes.columns]
+
     rest = [c for c in edges.columns if c not in ("MS1_ClusterID", "MS2_ClusterID")]
     return out.select(
-        *[F.col(f"ms1_{c}") for c in ms1.columns],
-        *[F.col(f"ms2_{c}") for c in ms2.columns],
+        *given(ms1, "ms1"),
+        *given(ms2, "ms2"),
         *[(F.col(f"_ms1_{c}") - F.col(f"_ms2_{c}")).alias(f"diff_{c}") for c in diff_columns],
         *rest,
     )

@@ -188,16 +188,19 @@ def summarize_table(df: DataFrame, scale: int = 4) -> DataFrame:
     values = df.select(F.inline(F.array(*entries)))
     counted = values.groupBy("name", "whole", "broken").agg(F.count(F.lit(1)).alias("k"))
     value = F.coalesce(F.col("broken"), F.col("whole").cast("double"))
-    amount = F.coalesce(exact_decimal(F.col("broken"), scale), F.col("whole").cast("decimal(18,0)"))
+    amount = F.coalesce(F.col("broken").try_cast(f"decimal(18,{scale})"), F.col("whole").cast("decimal(20,0)"))
     present = value.isNotNull()
     k = F.col("k")
+    rows_present = F.sum(F.when(present, k))
+    exact = F.sum(amount * k.cast("decimal(18,0)")).cast("double") / rows_present
+    fits = F.count_if(present & amount.isNull()) == 0  # huge values, infinities and NaN do not
     return counted.groupBy(F.col("name").alias("column")).agg(
         F.sum(k).alias("n"),
         F.sum(F.when(present, 0).otherwise(k)).cast("bigint").alias("n_null"),
         F.count_if(present).alias("n_distinct"),
         F.min(value).alias("min"),
         F.max(value).alias("max"),
-        (F.sum(amount * k.cast("decimal(18,0)")).cast("double") / F.sum(F.when(present, k))).alias("mean"),
+        F.when(fits, exact).otherwise(F.sum(value * k) / rows_present).alias("mean"),
     )
 
 
