@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ionweave.functions.text import DECOY_PATTERN
+from ionweave.functions.numeric import dyadic
+from ionweave.functions.text import DECOY_PATTERN, SHORT_TAG, modification_tag
 from ionweave.operators.ordering import with_batch_id, with_row_index
 
 # Defaults of the confidence filter and the three extent axes.
@@ -36,7 +37,12 @@ def confident_targets(
 
 
 def query_tables(sql: str, **tables: DataFrame) -> DataFrame:
-    """Run SQL over DataFrames, named as ``{name}`` in the text."""
+    """Run SQL over DataFrames, named as ``{name}`` in the text.
+
+    ``'{name}'`` means the same: quotes are needed where a name stands for a file path.
+    """
+    for name in tables:
+        sql = sql.replace(f"'{{{name}}}'", f"{{{name}}}")
     return next(iter(tables.values())).sparkSession.sql(sql, **tables)
 
 
@@ -109,6 +115,19 @@ def aligned_features(stats: DataFrame, names: dict[str, str], key: str = "Cluste
     return stats.select(key, *[F.col(source).alias(name) for source, name in names.items()])
 
 
+def with_modification_columns(
+    modifications: DataFrame, id_column: str = "id", mass_column: str = "monoisotopic_mass"
+) -> DataFrame:
+    """Add ``tag``, ``short_tag`` and the mass on the grid that tools compute with."""
+    mod_id = F.col(id_column)
+    return modifications.select(
+        "*",
+        modification_tag(mod_id).alias("tag"),
+        modification_tag(mod_id, SHORT_TAG).alias("short_tag"),
+        dyadic(F.col(mass_column)).alias("machine_monoisotopic_mass"),
+    )
+
+
 def in_order(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Global sort, nulls last."""
     return df.orderBy(*[F.asc_nulls_last(k) for k in keys])

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 HOT_KEYS = 200  # most keys that are spread; also the row bound of the broadcast hot-key table
 ROWS_PER_TASK = 20_000_000  # a key with more rows than this is spread over several tasks
 _SKETCH_ITEMS = 16384
+MAX_BROADCAST_ROWS = 1_000_000  # most ids sent to every executor
 _BYTES_PER_ROW = 4  # low guess of the stored size of a row
 
 
@@ -114,8 +115,8 @@ def attach_lookup(
 def matching_keys(
     df: DataFrame, keys: DataFrame, on: Sequence[str], rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame:
-    """Rows of ``df`` whose key occurs in ``keys``."""
-    return spread_join(df, keys.select(*on), on, "left_semi", rows_per_task)
+    """Rows of ``df`` whose key occurs in ``keys``; repeated keys are merged before they move."""
+    return spread_join(df, keys.select(*on).distinct(), on, "left_semi", rows_per_task)
 
 
 def combine_tables(a: DataFrame, b: DataFrame, key: str = "ClusterID") -> DataFrame:
@@ -154,9 +155,9 @@ def edge_features(
     Columns: ``ms1_<c>`` and ``ms2_<c>`` for every column of the node tables,
     ``diff_<c>`` for each of ``diff_columns`` (taken from ``ms1_diff`` and ``ms2_diff``, by
     default the node tables themselves), and the other edge columns.  Every edge must
-    find both ends; the job fails otherwise.  ``broadcast_rows`` says that ``edges`` has at
-    most that many rows, known to the caller; small edge sets then go to the node tables
-    instead of the other way round.
+    find both ends; the job fails otherwise.  ``broadcast_rows`` is for small stored sets of
+    edges, such as a sample: if there are no more rows than that, which is checked, the
+    edges go to the node tables instead of the other way round.
     """
     def ready(nodes: DataFrame, diffs: DataFrame | None, side: str) -> DataFrame:
         # column names do not tell upper from lower case, so ms1_ClusterID is given out last
@@ -167,7 +168,8 @@ def edge_features(
         renamed = diffs.select(key, *[F.col(c).alias(f"_{side}_{c}") for c in diff_columns])
         return nodes.select(key, node, *values).join(renamed, key).drop(key)
 
-    small = broadcast_rows is not None and broadcast_rows <= 1_000_000
+    small = broadcast_rows is not None and broadcast_rows <= MAX_BROADCAST_ROWS
+    small = small and edges.limit(broadcast_rows + 1).count() <= broadcast_rows
     out = edges
     for side, nodes, diffs, end in (
         ("ms1", ms1, ms1_diff, "MS1_ClusterID"),

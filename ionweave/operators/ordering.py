@@ -104,15 +104,16 @@ def with_row_index(
     """Dense index 0..n-1 in the order of ``order_by``, per group when ``by`` is given.
 
     ``order_by`` together with ``by`` must be a key of the table; rows that share a key of
-    plain columns fail the job.  With ``unique=False`` a hash of all columns breaks ties, so
-    that only rows equal in every column may swap places.  ``size_name`` adds the row
-    count of the group.
+    plain columns fail the job.  With ``unique=False`` rows may share a key; the table is
+    then stored once more first, and the stored place of a row breaks ties, which also splits a
+    large run of equal rows.  ``size_name`` adds the row count of the group.
     """
     keys = [*by, *order_by]
     if unique:
         staged = slices(df, keys, keys if all(isinstance(k, str) for k in keys) else ())
     else:
-        staged = slices(df, [*keys, F.xxhash64(*df.columns)])
+        numbered = stage(df.withColumn("_tie", F.monotonically_increasing_id()), "ties")
+        staged = slices(numbered, [*keys, "_tie"])
     joined = _with_offsets(staged, _piece_offsets(staged, by, F.count(F.lit(1))), by)
     extra = [F.col("_total").alias(size_name)] if size_name else []
     index = (F.col("_before") + F.col(ROW) - F.col("_first")).alias(name)

@@ -177,16 +177,18 @@ def summarize_table(df: DataFrame, scale: int = 4) -> DataFrame:
     broken = [f.name for f in df.schema if isinstance(f.dataType, (T.FractionalType,))]
     if not whole + broken:
         raise ValueError("the table has no numeric column")
-    entry = "struct<name:string,whole:bigint,broken:double>"
+    names = whole + broken
     entries = [
-        F.struct(F.lit(c), F.col(f"`{c}`").cast("bigint"), F.lit(None).cast("double")).cast(entry)
-        for c in whole
-    ] + [
-        F.struct(F.lit(c), F.lit(None).cast("bigint"), F.col(f"`{c}`").cast("double")).cast(entry)
-        for c in broken
+        F.struct(
+            F.lit(i).alias("at"),
+            (F.col(f"`{c}`") if c in whole else F.lit(None)).cast("bigint").alias("whole"),
+            (F.col(f"`{c}`") if c in broken else F.lit(None)).cast("double").alias("broken"),
+        )
+        for i, c in enumerate(names)
     ]
     values = df.select(F.inline(F.array(*entries)))
-    counted = values.groupBy("name", "whole", "broken").agg(F.count(F.lit(1)).alias("k"))
+    counted = values.groupBy("at", "whole", "broken").agg(F.count(F.lit(1)).alias("k"))
+    name = F.element_at(F.array(*[F.lit(c) for c in names]), F.col("at") + 1)
     value = F.coalesce(F.col("broken"), F.col("whole").cast("double"))
     amount = F.coalesce(F.col("broken").try_cast(f"decimal(18,{scale})"), F.col("whole").cast("decimal(20,0)"))
     present = value.isNotNull()
@@ -194,14 +196,15 @@ def summarize_table(df: DataFrame, scale: int = 4) -> DataFrame:
     rows_present = F.sum(F.when(present, k))
     exact = F.sum(amount * k.cast("decimal(18,0)")).cast("double") / rows_present
     fits = F.count_if(present & amount.isNull()) == 0  # huge values, infinities and NaN do not
-    return counted.groupBy(F.col("name").alias("column")).agg(
+    return counted.groupBy("at").agg(
+        F.first(name).alias("column"),
         F.sum(k).alias("n"),
         F.sum(F.when(present, 0).otherwise(k)).cast("bigint").alias("n_null"),
         F.count_if(present).alias("n_distinct"),
         F.min(value).alias("min"),
         F.max(value).alias("max"),
         F.when(fits, exact).otherwise(F.sum(value * k) / rows_present).alias("mean"),
-    )
+    ).drop("at")
 
 
 def bin_index(column: str, origin: float, width: float) -> Column:

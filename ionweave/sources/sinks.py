@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ionweave.functions.documents import checked_json
 from ionweave.operators.ordering import with_row_index
 
 DEFAULT_COMMAND = "NA"  # fixed value: command of a result that names none
@@ -74,7 +75,9 @@ def result_rows(documents: DataFrame, next_id: int = 1) -> DataFrame:
     command = F.col("command") if "command" in have else F.lit(DEFAULT_COMMAND)
     extra = F.col("reproducibility") if "reproducibility" in have else F.lit(None).cast("string")
     rows = documents.select(
-        command.alias("command"), "result", F.coalesce(extra, F.lit("{}")).alias("reproducibility")
+        command.alias("command"),
+        checked_json(F.col("result")).alias("result"),
+        F.coalesce(extra, F.lit("{}")).alias("reproducibility"),
     )
     numbered = with_row_index(rows, ["command", "result"], name="_at", unique=False)
     return numbered.select(

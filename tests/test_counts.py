@@ -216,6 +216,11 @@ def test_filter_is_pushed_to_the_scan(spark, plan, tmp_path):
     assert "LessThan(q" in text and "unused" not in text
 
 
+def test_sql_with_quoted_names(spark):
+    df = spark.range(5)
+    assert filters.query_tables("SELECT * FROM '{t}' WHERE id > 2", t=df).count() == 2
+
+
 def test_json_check(spark):
     df = spark.createDataFrame([('{"a": 1}',), ("nope{",)], "t string")
     assert df.where("t like '{%'").select(checked_json(F.col("t"))).first()[0] == '{"a": 1}'

@@ -140,6 +140,12 @@ def test_result_ids_count_on(spark, tmp_path):
     assert all(r["date"].microsecond == 0 and r["reproducibility"] == "{}" for r in rows)
 
 
+def test_results_must_be_json(spark, tmp_path):
+    docs = spark.createDataFrame([("{",)], "result string")
+    with pytest.raises(PySparkException, match="not a JSON"):
+        sinks.append_results(docs, f"file:{tmp_path}/bad")
+
+
 def test_report_keeps_nulls(spark, tmp_path):
     path = tmp_path / "r"
     sinks.write_report(spark.createDataFrame([(1, None)], "a int, b int"), f"file:{path}")

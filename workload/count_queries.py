@@ -100,6 +100,11 @@ def number_columns(spark, d):
     )
 
 
+def modification_columns(spark, d):
+    mods = T(spark, d, "part").select(F.col("p_partkey").alias("id"), (F.col("p_retailprice") / 7).alias("monoisotopic_mass"))
+    return filters.with_modification_columns(mods)
+
+
 def nested_update(spark, d):
     config = F.struct(
         F.col("p_partkey").alias("id"),
@@ -297,6 +302,12 @@ QUERIES = {
              floor(l_extendedprice / 3 * 8192) * pow(2, -13) AS grid,
              round_even(l_extendedprice * l_discount / 7 * 1e4::double, 0) / 1e4::double AS rounded FROM lineitem""",
     ),
+    "modification_columns": (
+        modification_columns,
+        """SELECT p_partkey AS id, p_retailprice / 7 AS monoisotopic_mass, concat('[UNIMOD:', p_partkey, ']') AS tag,
+             concat('[U:', p_partkey, ']') AS short_tag,
+             floor(p_retailprice / 7 * 8192) * pow(2, -13) AS machine_monoisotopic_mass FROM part""",
+    ),
     "nested_update": (
         nested_update,
         "SELECT p_partkey AS id, p_size * -0.5::double AS low, p_size * 0.25::double AS high, 'ppm' AS unit FROM part",

@@ -27,7 +27,7 @@ def tsv_scan(spark, d):
 
 def sql_over_tables(spark, d):
     return query_tables(
-        "SELECT ClusterID, mz_wmean AS precursor_mz_wmean, note FROM {ms1} WHERE scan_wmean > 500",
+        "SELECT ClusterID, mz_wmean AS precursor_mz_wmean, note FROM {ms1} WHERE retention_time_wmean >= 1997",
         ms1=T(spark, d, "ms1"),
     )
 
@@ -156,7 +156,7 @@ QUERIES = {
     "tsv_scan": (tsv_scan, f"SELECT * FROM {D('rescored')}"),
     "sql_over_tables": (
         sql_over_tables,
-        f"SELECT ClusterID, mz_wmean AS precursor_mz_wmean, note FROM {D('ms1')} WHERE scan_wmean > 500",
+        f"SELECT ClusterID, mz_wmean AS precursor_mz_wmean, note FROM {D('ms1')} WHERE retention_time_wmean >= 1997",
     ),
     "record_scan": (
         record_scan,
