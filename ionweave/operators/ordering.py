@@ -29,15 +29,23 @@ def _columns(keys: Sequence[str | Column]) -> list[Column]:
     return [F.col(k) if isinstance(k, str) else k for k in keys]
 
 
+def _slice_count(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def one_task_per_slice(staged: DataFrame) -> DataFrame:
+    """Give each slice a task of its own; a hash of the slice number would put some together."""
+    return staged.repartitionById(_slice_count(staged), F.col(SLICE))
+
+
 def slices(df: DataFrame, keys: Sequence[str | Column], unique: Sequence[str] = ()) -> DataFrame:
     """Sort by ``keys`` into range slices; adds ``_slice`` and ``_row``.
 
     ``unique`` names the columns of ``keys`` if no two rows may agree in them; the job fails if
     some do.  Equal rows are neighbours by then, so this takes no shuffle of its own.
     """
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cols = _columns(keys)
-    placed = df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
+    placed = df.repartitionByRange(_slice_count(df), *cols).sortWithinPartitions(*cols)
     place = F.monotonically_increasing_id()
     if unique:
         repeat = F.row_number().over(Window.partitionBy(*unique).orderBy(*unique))
@@ -52,7 +60,7 @@ def slices(df: DataFrame, keys: Sequence[str | Column], unique: Sequence[str] =
         placed = placed.withColumn("_place", place)
     return (
         stage(placed, "slices")
-        .withColumn(SLICE, F.shiftright("_place", _ROW_BITS))
+        .withColumn(SLICE, F.shiftright("_place", _ROW_BITS).cast("int"))
         .withColumn(ROW, F.col("_place").bitwiseAND(F.lit((1 << _ROW_BITS) - 1)))
         .drop("_place")
     )
@@ -242,7 +250,7 @@ def exact_quantiles(
     staged = slices(counted, [*by, "_v"])
     inside = Window.partitionBy(SLICE, *by).orderBy(ROW)
     ranked = _with_offsets(
-        staged.withColumn("_local", F.sum("_n").over(inside) - F.col("_n")),
+        one_task_per_slice(staged).withColumn("_local", F.sum("_n").over(inside) - F.col("_n")),
         _piece_offsets(staged, by, F.sum("_n")),
         by,
     ).withColumn("_from", F.col("_before") + F.col("_local"))
