@@ -221,8 +221,9 @@ def refine_generation(
         ),
         "errors",
     )
-    ms1 = calibration.recalibrated(first["precursor_stats"], errors, "ms1", mz)
-    ms2 = calibration.recalibrated(first["fragment_stats"], errors, "ms2", mz)
+    distributions = stage(calibration.error_distributions(errors), "distributions")
+    ms1 = calibration.recalibrated(first["precursor_stats"], distributions, "ms1", mz)
+    ms2 = calibration.recalibrated(first["fragment_stats"], distributions, "ms2", mz)
     refined = refinement.refine_edges(first["edges"], found)
     return {
         **{f"mapped_{name}": df for name, df in mapped.items() if name != "edges"},
@@ -230,7 +231,7 @@ def refine_generation(
         "precursor_stats": ms1,
         "fragment_stats": ms2,
         "errors": errors,
-        "error_distributions": calibration.error_distributions(errors),
+        "error_distributions": distributions,
         "edges": refined["edges"],
         "edge_counts": refined["counts"],
         "spectra": refinement.spectrum_lines(ms1, ms2, refined["edges"], settings.header, mz),

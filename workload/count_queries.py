@@ -176,7 +176,7 @@ def compliance(spark, d):
 
 def cluster_stats(spark, d):
     out = summaries.cluster_stats(T(spark, d, "peaks"), {"frame": "frame", "mz": "mz"})
-    return out.withColumn("frame_wmean", F.round("frame_wmean", 6)).withColumn("mz_wmean", F.round("mz_wmean", 6))
+    return out.withColumn("frame_wmean", F.round("frame_wmean", 9)).withColumn("mz_wmean", F.round("mz_wmean", 9))
 
 
 def table_summary(spark, d):
@@ -366,10 +366,10 @@ QUERIES = {
     "cluster_stats": (
         cluster_stats,
         f"""SELECT ClusterID, count(*) AS size, cast(sum(intensity) AS double) AS intensity_sum,
-              round(cast(sum(frame * intensity) AS double) / cast(sum(intensity) AS double), 6) AS frame_wmean,
+              round(cast(sum(frame * intensity) AS double) / cast(sum(intensity) AS double), 9) AS frame_wmean,
               min(frame) AS frame_min, max(frame) AS frame_max,
               round(cast(sum(cast(mz AS decimal(18, 4)) * intensity) AS double)
-                / cast(sum(intensity) AS double), 6) AS mz_wmean,
+                / cast(sum(intensity) AS double), 9) AS mz_wmean,
               min(mz) AS mz_min, max(mz) AS mz_max
             FROM {D('peaks')} GROUP BY ClusterID""",
     ),

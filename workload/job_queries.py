@@ -114,8 +114,9 @@ def _search_output(first):
         first["edges"].where("(MS1_ClusterID + MS2_ClusterID) % 3 = 0").join(nodes, "MS2_ClusterID").select(
             F.col("MS1_ClusterID").alias("psm_id"),
             F.col("MS2_ClusterID").alias("fragment_key"),
+            # the small shift keeps round values of the nodes off the ties of the rounding
             F.round(
-                F.col("mz_wmean") * (F.lit(1) + (F.col("MS2_ClusterID") % 31 - 12) * F.lit(1e-6)), 6
+                F.col("mz_wmean") * (F.lit(1) + (F.col("MS2_ClusterID") % 31 - 12) * F.lit(1e-6)) + F.lit(3e-9), 6
             ).alias("fragment_mz_experimental"),
         )
     )
@@ -164,7 +165,7 @@ _GENERATION = f"""
       ON n1.day = n2.day AND n1.frame_min <= n2.frame_max AND n2.frame_min <= n1.frame_max),
     p AS (SELECT *, mz_wmean * (1 + (ClusterID % 21 - 10) * cast('1e-6' AS double)) AS expected_mz FROM n1
       WHERE ClusterID % 7 <> 0 AND ClusterID % 10 / 500::double < 0.01),
-    f AS MATERIALIZED (SELECT m1 AS psm_id, round(mz2 * (1 + (m2 % 31 - 12) * cast('1e-6' AS double)), 6) AS mz FROM e
+    f AS MATERIALIZED (SELECT m1 AS psm_id, round(mz2 * (1 + (m2 % 31 - 12) * cast('1e-6' AS double)) + cast('3e-9' AS double), 6) AS mz FROM e
       WHERE (m1 + m2) % 3 = 0 AND m1 IN (SELECT ClusterID FROM p)),
     x AS MATERIALIZED (SELECT e.m1, e.m2, e.mz2, f.mz FROM e JOIN f ON f.psm_id = e.m1
       AND f.mz >= e.mz2 - e.mz2 * cast('5e-5' AS double) AND f.mz <= e.mz2 + e.mz2 * cast('5e-5' AS double)),

@@ -94,7 +94,7 @@ def error_distributions(spark, d):
 
 def recalibrated_nodes(spark, d):
     nodes = T(spark, d, "ms1").select("ClusterID", "mz_wmean")
-    return calibration.recalibrated(nodes, _errors(spark, d), "ms1")
+    return calibration.recalibrated(nodes, calibration.error_distributions(_errors(spark, d)), "ms1")
 
 
 def _bins(spark, d, limit):
