@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ionweave.staging import stage
 
 SLICE, ROW = "_slice", "_row"
+_GROUP_LIMIT = 1000  # from this rank on Spark does not cut groups before the shuffle
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number in the low 33 bits
 
 
@@ -222,12 +223,13 @@ def top_ranks(
     """Rank 1.. of each row in its group; with ``max_rank``, only rows up to that rank.
 
     A rank filter lets Spark keep ``max_rank`` rows per group and map task before the
-    shuffle, so a hot group stays small.  Without a cap the ranks come from the row index,
-    which spreads a hot group over several slices.
+    shuffle, so a hot group stays small.  Without a cap, or with one above Spark's limit for
+    this, the ranks come from the row index, which spreads a hot group over several slices.
     """
-    if max_rank is None:
+    if max_rank is None or max_rank >= _GROUP_LIMIT:
         ranked = with_row_index(df, order_by, by=by, name=name)
-        return ranked.withColumn(name, (F.col(name) + 1).cast("int"))
+        ranked = ranked.withColumn(name, (F.col(name) + 1).cast("int"))
+        return ranked if max_rank is None else ranked.where(F.col(name) <= max_rank)
     w = Window.partitionBy(*by).orderBy(*order_by)
     return df.withColumn(name, F.row_number().over(w)).where(F.col(name) <= max_rank)
 

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from ionweave.operators.ordering import int_div
 from ionweave.staging import stage
 
-SEGMENT_SPAN = 1 << 18  # positions per segment when the caller names no segment
+SEGMENT_SPAN = 1 << 16  # positions per segment when the caller names no segment
 
 
 def _bin_starts(ends: np.ndarray, entry: int, limit: int) -> list[int]:
@@ -70,7 +70,7 @@ def pack(
     """Bin of each record: (file, seq, bin).
 
     ``seq`` is the integral position in the file.  ``segment`` is a bigint that grows with the
-    position and has a bounded number of rows; by default the position in units of 2**18.
+    position and has a bounded number of rows; by default the position in units of 2**16.
     ``limit`` is in the unit of ``size``.
     """
     if limit <= 0:

@@ -159,9 +159,8 @@ def first_generation(
     ``same`` maps names to columns (over the node tables) that must be equal in a match.
     Node tables and matches are stored, as several later steps read them.
     """
-    ms1 = combine_tables(
-        stage(cluster_stats(precursor_points, settings.axes), "ms1"), extra_precursor_stats
-    )
+    main = stage(cluster_stats(precursor_points, settings.axes), "main")
+    ms1 = stage(combine_tables(main, extra_precursor_stats), "ms1")
     ms2 = stage(cluster_stats(fragment_points, settings.axes), "ms2")
     same = same or {}
 
@@ -201,10 +200,10 @@ def refine_generation(
     fragment nodes are taken against the mean m/z of the fragments found on an edge.
     """
     mz = f"{settings.mz_axis}_wmean"
-    kept_psms, kept_fragments = refinement.filter_search_results(psms, fragments, **settings.confidence)
+    kept = refinement.filter_search_results(psms, fragments, **settings.confidence)
     mapped = map_back(
-        kept_psms,
-        kept_fragments,
+        stage(kept[0], "psms"),
+        stage(kept[1], "fragments"),
         first["fragment_stats"],
         first["edges"],
         settings.tolerance,

@@ -126,6 +126,9 @@ def test_range_match_is_an_equi_join(spark, plan):
     b = spark.range(1000).selectExpr("id AS j", "id AS b_lo", "id + 3 AS b_hi")
     text = plan(matching.match_ranges(a, b, [matching.Axis(("a_lo", "a_hi"), ("b_lo", "b_hi"), 4)]))
     assert "NestedLoop" not in text and "Cartesian" not in text
+    far = b.withColumn("b_hi", F.lit(float("inf")))
+    with pytest.raises(ValueError, match="finite"):
+        matching.match_ranges(a, far, [matching.Axis(("a_lo", "a_hi"), ("b_lo", "b_hi"), 4)])
     with pytest.raises(ValueError, match="rename"):
         matching.match_ranges(a, a, [])
 

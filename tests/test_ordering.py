@@ -112,6 +112,7 @@ def test_ranks_keep_few_rows_before_the_shuffle(spark, plan):
     full = fragment_ranks(edges, max_rank=None).toPandas().sort_values(["MS2_ClusterID", "rank"])
     assert len(full) == len(pdf)
     assert (got.values == full[full["rank"] <= 12].values).all()
+    assert fragment_ranks(edges, max_rank=1000).count() == (full["rank"] <= 1000).sum()
     hot = full[full.MS2_ClusterID == 500]
     assert (hot["rank"].values == np.arange(1, len(hot) + 1)).all()
     assert hot.score.is_monotonic_decreasing
