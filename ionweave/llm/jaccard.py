@@ -12,8 +12,9 @@
 4. A pair is compared by bitmaps of hashed shingles first: bits that one has and the other lacks bound
    the overlap from above.  Pairs that pass are decided by exact intersection of the sorted arrays.
 
-The table of frequent shingles has at most ``FREQUENT`` rows and is the only thing that gets to the driver.  It
-changes the order, so speed, and never a result.  Shingles and nodes are 64-bit hashes.
+The table of frequent shingles has at most ``FREQUENT`` rows, the bitmaps that tell which shingles and documents are
+worth moving have ``FILTER_BITS`` bits; nothing else gets to the driver.  Both only save work: a full bitmap lets more
+rows through, and never changes a result.  Shingles and nodes are 64-bit hashes.
 
 Defined results: a null or empty text has an empty set and is linked with nothing, its component is its
 own id; equal rows share a component; a component's id ignores null ids.
@@ -35,6 +36,8 @@ from ionweave.llm.textual import shingles
 
 FREQUENT = 500_000  # rows of the table of frequent shingles
 OFTEN = 4  # a task reports shingles that so many of its documents have
+FILTER_BITS = 1 << 27  # 16 MB
+BUCKET = 4_000_000  # shingles that meet in one task, about
 _BITS_PER_SHINGLE = 2
 
 Stage = Callable[[DataFrame], DataFrame]
@@ -90,7 +93,7 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def shingled(docs: DataFrame, size: int, percent: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per document: doc_id, key, node, n_shingles and, once per node and task, the first shingles."""
+    """Per document: doc_id, key, node, n_shingles and, once per node and task, first shingles and bitmap."""
     spark = docs.sparkSession
     frequent = spark.sparkContext.broadcast(frequent_shingles(docs, size, text_col))  # at most 8 MB
     rows = _rows(docs, id_col, text_col).select("doc_id", "key", "text")
@@ -100,7 +103,7 @@ def shingled(docs: DataFrame, size: int, percent: int, id_col: str = "doc_id", t
         value, n = frequent.value
         seen: set[int] = set()  # one number for each distinct set of the task
         for batch in batches:
-            nodes, sizes, firsts = [], [], []
+            nodes, sizes, firsts, bits = [], [], [], []
             for text in batch.column(2).to_pylist():
                 found = shingles(text or "", size)
                 node = _key(found) if len(found) else None
@@ -109,13 +112,14 @@ def shingled(docs: DataFrame, size: int, percent: int, id_col: str = "doc_id", t
                 new = node is not None and node not in seen
                 seen.add(node)
                 firsts.append(_signed(prefix(found, percent, value, n)) if new else None)
+                bits.append(_bitmap(found) if new else None)
             columns = [
                 *batch.columns[:2], pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()),
-                pa.array(firsts, pa.list_(pa.int64())),
+                pa.array(firsts, pa.list_(pa.int64())), pa.array(bits, pa.binary()),
             ]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "key", "node", "n_shingles", "first"])
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "key", "node", "n_shingles", "first", "bits"])
 
-    kind = f"doc_id {id_type}, key long, node long, n_shingles long, first array<long>"
+    kind = f"doc_id {id_type}, key long, node long, n_shingles long, first array<long>, bits binary"
     return rows.mapInArrow(run, kind)
 
 
@@ -137,22 +141,95 @@ def overlap_bound(a: bytes, b: bytes, n_a: int, n_b: int) -> int:
     return min(n_a - int(np.bitwise_count(x & ~y).sum()), n_b - int(np.bitwise_count(y & ~x).sum()))
 
 
+def marked(keys: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
+    """Bitmap with the place of every number of the single column set; its size is fixed."""
+    place = F.pmod(F.col(keys.columns[0]), F.lit(bits)) + 1
+    maps = keys.groupBy(F.bitmap_bucket_number(place).alias("b")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("m")
+    )
+    out = np.zeros(bits // 8, np.uint8)
+    for r in maps.toLocalIterator():  # bits / 32768 rows of 4 KB at most
+        out[(r["b"] - 1) * 4096 : r["b"] * 4096] = np.frombuffer(bytes(r["m"]), np.uint8)
+    return out
+
+
+def _among(values: np.ndarray, bitmap: np.ndarray) -> np.ndarray:
+    """Whether the place of each number is set."""
+    place = values & (8 * len(bitmap) - 1)
+    return (bitmap[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
+
+
+def shared_shingles(members: DataFrame) -> DataFrame:
+    """The first shingles that more than one row has, in one shuffle of bare numbers.
+
+    A batch sends a shingle on twice at most, so one that all documents have is no burden.
+    """
+    total = members.agg(F.sum(F.size("first"))).first()[0] or 0
+    buckets = -(-total // BUCKET) * 2 + 1
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            value, n = np.unique(batch.column(0).flatten().to_numpy(), return_counts=True)
+            value = np.concatenate((value, value[n > 1]))
+            bucket = (value.view(np.uint64) >> np.uint64(20)) % np.uint64(buckets)
+            order = np.argsort(bucket, kind="stable")
+            value, bucket = value[order], bucket[order].astype(np.int64)
+            own, first = np.unique(bucket, return_index=True)
+            parts = np.split(value, first[1:]) if len(own) else []
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(own, pa.int64()), pa.array([p.tobytes() for p in parts], pa.binary())], ["bucket", "some"]
+            )
+
+    def meet(table: pa.Table) -> pa.Table:
+        value = np.concatenate([np.frombuffer(v, np.int64) for v in table.column("some").to_pylist()])
+        value, n = np.unique(value, return_counts=True)
+        return pa.table({"s": value[n > 1]})
+
+    dealt = members.where("first IS NOT NULL").select("first").mapInArrow(deal, "bucket long, some binary")
+    return dealt.groupBy("bucket").applyInArrow(meet, "s long")
+
+
+def shared_rows(members: DataFrame) -> DataFrame:
+    """node, n, s, pos of the first shingles that may be shared."""
+    bitmap = members.sparkSession.sparkContext.broadcast(marked(shared_shingles(members)))
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(2)
+            bounds = lists.offsets.to_numpy().astype(np.int64)
+            value = lists.flatten().to_numpy()
+            owner = np.repeat(np.arange(len(lists)), np.diff(bounds))
+            pos = np.arange(len(value)) - (bounds[:-1] - bounds[0])[owner]
+            keep = np.flatnonzero(_among(value, bitmap.value))
+            own = pa.array(owner[keep])
+            columns = [batch.column(0).take(own), batch.column(1).take(own), pa.array(value[keep]), pa.array(pos[keep])]
+            yield pa.RecordBatch.from_arrays(columns, ["node", "n", "s", "pos"])
+
+    listed = members.where("first IS NOT NULL").select("node", "n_shingles", "first")
+    return listed.mapInArrow(pick, "node long, n long, s long, pos long")
+
+
 def node_sets(docs: DataFrame, wanted: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
-    """node, n, bitmap and sorted set of the documents whose ``key`` is in ``wanted``."""
-    texts = _rows(docs, id_col, text_col).join(wanted, "key", "left_semi")
-    once = texts.groupBy("key").agg(F.first("text").alias("text"))
+    """node and sorted set of the documents whose ``key`` is in ``wanted``, and of a few others."""
+    bitmap = docs.sparkSession.sparkContext.broadcast(marked(wanted))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
-            found = [shingles(t or "", size) for t in batch.column(0).to_pylist()]
-            columns = [
-                pa.array([_key(f) for f in found], pa.int64()), pa.array([len(f) for f in found], pa.int64()),
-                pa.array([_bitmap(f) for f in found], pa.binary()),
-                pa.array([_signed(f) for f in found], pa.list_(pa.int64())),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, ["node", "n", "bits", "found"])
+            batch = batch.filter(pa.array(_among(batch.column(0).to_numpy(), bitmap.value)))
+            nodes, sets = [], []
+            for text in batch.column(1).to_pylist():
+                found = shingles(text or "", size)
+                node = _key(found)
+                if node not in seen:
+                    seen.add(node)
+                    nodes.append(node)
+                    sets.append(_signed(found))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(nodes, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], ["node", "found"]
+            )
 
-    return once.select("text").mapInArrow(run, "node long, n long, bits binary, found array<long>")
+    return _rows(docs, id_col, text_col).select("key", "text").mapInArrow(run, "node long, found array<long>")
 
 
 def _similar(inner: Column, total: Column, percent: int) -> Column:
@@ -160,8 +237,16 @@ def _similar(inner: Column, total: Column, percent: int) -> Column:
     return (100 + percent) * inner >= percent * total
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``a``, ``b`` that are similar: bitmaps first, then the sets."""
+def _sides(pairs: DataFrame, table: DataFrame, *columns: str) -> DataFrame:
+    """The pairs with columns of both nodes: those of ``a`` with a 1 behind their names, of ``b`` with a 2."""
+    for side, number in (("a", 1), ("b", 2)):
+        own = table.select(F.col("node").alias(side), *[F.col(c).alias(f"{c}{number}") for c in columns])
+        pairs = pairs.join(own, side)
+    return pairs
+
+
+def likely(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The pairs ``a``, ``b`` that their bitmaps do not rule out."""
 
     def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -171,6 +256,13 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             ]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
+    both = _sides(pairs, nodes, "bits", "n").select("a", "b", "bits1", "bits2", "n1", "n2")
+    return both.mapInArrow(bounded, "a long, b long")
+
+
+def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs ``a``, ``b`` whose sets are similar, by exact intersection of the sorted arrays."""
+
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
@@ -180,13 +272,8 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 keep.append((100 + percent) * inner >= percent * (len(x) + len(y)))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    def joined(pairs: DataFrame, column: str) -> DataFrame:
-        left = sets.select(F.col("node").alias("a"), F.col(column).alias("x"), F.col("n").alias("n_a"))
-        right = sets.select(F.col("node").alias("b"), F.col(column).alias("y"), F.col("n").alias("n_b"))
-        return pairs.join(left, "a").join(right, "b")
-
-    likely = joined(pairs, "bits").select("a", "b", "x", "y", "n_a", "n_b").mapInArrow(bounded, "a long, b long")
-    return joined(likely, "found").select("a", "b", "x", "y").mapInArrow(exact, "a long, b long")
+    both = _sides(pairs, sets, "found").select("a", "b", "found1", "found2")
+    return both.mapInArrow(exact, "a long, b long")
 
 
 def similar_components(
@@ -209,24 +296,27 @@ def similar_components(
         .groupBy("node")
         .agg(
             F.max("n_shingles").alias("n"), F.min("doc_id").alias("least"), F.min("key").alias("key"),
-            F.first("first", ignorenulls=True).alias("first"),
+            F.first("bits", ignorenulls=True).alias("bits"),
         )
     )
-    rows = nodes.select("node", "n", F.posexplode("first").alias("pos", "s"))
-    shared = rows.groupBy("s").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("s")
-    tiled = stage(_tiles(rows.join(shared, "s", "left_semi"), percent))
+    tiled = stage(_tiles(shared_rows(members), percent))
 
     leaders = tiled.groupBy("s", "band").agg(F.min(F.struct("pos", "node", "n")).alias("l"))
     starred = tiled.join(leaders, ["s", "band"]).where("node <> l.node")
     close = _possible(F.col("n"), F.col("pos"), F.col("l.n"), F.col("l.pos"), percent)
     first = stage(_pairs(starred.where(close), F.col("node"), F.col("l.node")))
-    names = nodes.select("node", "key")
 
-    def sets_of(pairs: DataFrame) -> DataFrame:
+    def links_of(pairs: DataFrame) -> DataFrame:
+        pairs = stage(likely(pairs, nodes, percent))
         used = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-        return stage(node_sets(docs, names.join(used, "node").select("key"), size, id_col, text_col))
-
-    links = stage(verified(first, sets_of(first), percent))
+        wanted = nodes.select("node", "key").join(used, "node").select("key")
+        sets = stage(node_sets(docs, wanted, size, id_col, text_col))
+        found, distinct = sets.agg(F.count("*"), F.count_distinct("node")).first()
+        if found > distinct:  # rows repeated in several tasks
+            sets = stage(sets.dropDuplicates(["node"]))
+        return stage(verified(pairs, sets, percent))
+
+    links = links_of(first)
     roots = components(links, stage)
 
     placed = tiled.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -241,7 +331,7 @@ def similar_components(
     )
     second = stage(_pairs(met, F.col("x.node"), F.col("y.node")).join(first, ["a", "b"], "left_anti"))
     if not second.isEmpty():
-        links = stage(links.union(verified(second, sets_of(second), percent)))
+        links = stage(links.union(links_of(second)))
         roots = components(links, stage)
     return _named(members, nodes, roots)
 
