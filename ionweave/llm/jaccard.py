@@ -3,9 +3,10 @@
 1. Documents with equal sets are one node.  A node's shingles are put into one order for all: those
    found often last, by how often, else by hash.  Only the first ones (a quarter at 75 percent) are kept;
    two similar sets must share one of them.
-2. Shingles that only one node has are dropped.  Those left make tiles of (shingle, size band): a node
-   is in the tiles of its own band and of the bands of smaller partners.  Sizes
-   and the positions of the shared shingle bound the overlap from above.
+2. Shingles that only one node has are dropped.  Sizes and the positions of a shared shingle bound the overlap
+   from above.  The nodes of a shingle that at most ``FEW`` have are sorted by size and paired at once.
+   Others make tiles of (shingle, size band): a node is in those of its own band and of the bands
+   of smaller partners.
 3. In each tile all nodes are first compared with one leader, which has the fewest rare shingles.  Nodes
    found similar join a component.  Then only pairs of a tile in different components are left: a large
    group of copies is done after one comparison per copy, and no link between components is missed.
@@ -37,6 +38,7 @@ from ionweave.llm.textual import shingles
 FREQUENT = 500_000  # rows of the table of frequent shingles
 OFTEN = 4  # a task reports shingles that so many of its documents have
 FILTER_BITS = 1 << 27  # 16 MB
+FEW = 16  # nodes of a shingle that are paired at once
 BUCKET = 4_000_000  # shingles that meet in one task, about
 _BITS_PER_SHINGLE = 2
 
@@ -92,10 +94,8 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(ids, text, F.xxhash64(f"`{id_col}`", f"`{text_col}`").alias("key"))
 
 
-def shingled(docs: DataFrame, size: int, percent: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def shingled(docs: DataFrame, frequent, size: int, percent: int, id_col: str, text_col: str) -> DataFrame:
     """Per document: doc_id, key, node, n_shingles and, once per node and task, first shingles and bitmap."""
-    spark = docs.sparkSession
-    frequent = spark.sparkContext.broadcast(frequent_shingles(docs, size, text_col))  # at most 8 MB
     rows = _rows(docs, id_col, text_col).select("doc_id", "key", "text")
     id_type = rows.schema["doc_id"].dataType.simpleString()
 
@@ -189,11 +189,13 @@ def shared_shingles(members: DataFrame) -> DataFrame:
     return dealt.groupBy("bucket").applyInArrow(meet, "s long")
 
 
-def shared_rows(members: DataFrame) -> DataFrame:
-    """node, n, s, pos of the first shingles that may be shared."""
+def shared_rows(members: DataFrame, frequent) -> DataFrame:
+    """node, n, s, pos of the first shingles that may be shared; ``often`` if more than ``FEW`` nodes have it for sure."""
     bitmap = members.sparkSession.sparkContext.broadcast(marked(shared_shingles(members)))
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        value, count = frequent.value
+        hot = np.sort(_signed(value[count > FEW]))
         for batch in batches:
             lists = batch.column(2)
             bounds = lists.offsets.to_numpy().astype(np.int64)
@@ -201,12 +203,63 @@ def shared_rows(members: DataFrame) -> DataFrame:
             owner = np.repeat(np.arange(len(lists)), np.diff(bounds))
             pos = np.arange(len(value)) - (bounds[:-1] - bounds[0])[owner]
             keep = np.flatnonzero(_among(value, bitmap.value))
-            own = pa.array(owner[keep])
-            columns = [batch.column(0).take(own), batch.column(1).take(own), pa.array(value[keep]), pa.array(pos[keep])]
-            yield pa.RecordBatch.from_arrays(columns, ["node", "n", "s", "pos"])
+            own, value = pa.array(owner[keep]), value[keep]
+            often = np.isin(value, hot)
+            columns = [batch.column(0).take(own), batch.column(1).take(own), *map(pa.array, (value, pos[keep], often))]
+            yield pa.RecordBatch.from_arrays(columns, ["node", "n", "s", "pos", "often"])
 
     listed = members.where("first IS NOT NULL").select("node", "n_shingles", "first")
-    return listed.mapInArrow(pick, "node long, n long, s long, pos long")
+    return listed.mapInArrow(pick, "node long, n long, s long, pos long, often boolean")
+
+
+def paired(rows: DataFrame, percent: int) -> DataFrame:
+    """Possible pairs ``a``, ``b`` of the nodes of each shingle; the rows of shingles that more than ``FEW`` have.
+
+    Pairs have null in ``s``, rows have their node in ``a`` and null in ``b``.  Rows come sorted by shingle and
+    size, and a task holds no more than a batch and ``FEW`` rows.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, many = np.empty((0, 4), np.int64), None
+        for batch in batches:
+            held = np.concatenate((held, np.stack([c.to_numpy() for c in batch.columns], axis=1)))
+            tail = held[:, 0] == held[-1, 0] if len(held) else np.empty(0, bool)
+            wait = tail & (tail.sum() <= FEW) & (held[:, 0] != many)
+            out, many = _meet(held[~wait], many, percent)
+            held = held[wait]
+            yield out
+        if len(held):
+            yield _meet(held, many, percent)[0]
+
+    ordered = rows.select("s", "n", "pos", "node").repartition("s").sortWithinPartitions("s", "n", "node")
+    return ordered.mapInArrow(run, "a long, b long, s long, n long, pos long")
+
+
+def _meet(rows: np.ndarray, many: int | None, percent: int) -> tuple[pa.RecordBatch, int | None]:
+    """Pairs and rows of whole groups, and the last group that is too large, which may go on."""
+    s, n, pos, node = rows.T if len(rows) else np.empty((4, 0), np.int64)
+    starts = np.flatnonzero(np.concatenate(([True], s[1:] != s[:-1]))) if len(s) else np.empty(0, np.int64)
+    size = np.repeat(np.diff(np.concatenate((starts, [len(s)]))), np.diff(np.concatenate((starts, [len(s)]))))
+    large = (size > FEW) | ((s == many) if many is not None else np.zeros(len(s), bool))
+    pairs = [np.empty((0, 2), np.int64)]
+    for d in range(1, FEW):
+        i = np.flatnonzero((s[d:] == s[:-d]) & ~large[d:] & (node[d:] != node[:-d]))
+        if not len(i):
+            continue
+        j, need = i + d, percent * (n[i] + n[i + d])  # n[j] is the larger one
+        fits = (percent * n[j] <= 100 * n[i]) & ((100 + percent) * (n[i] - pos[i]) >= need)
+        fits &= (100 + percent) * (n[j] - pos[j]) >= need
+        pairs.append(np.sort(np.stack([node[i[fits]], node[j[fits]]], axis=1), axis=1))
+    found, left = np.unique(np.concatenate(pairs), axis=0), np.flatnonzero(large)
+    none, blank = pa.nulls(len(found), pa.int64()), pa.nulls(len(left), pa.int64())
+    columns = [
+        pa.concat_arrays([pa.array(x, pa.int64()), y])
+        for x, y in (
+            (found[:, 0], pa.array(node[left], pa.int64())), (found[:, 1], blank),
+        )
+    ] + [pa.concat_arrays([none, pa.array(c[left], pa.int64())]) for c in (s, n, pos)]
+    out = pa.RecordBatch.from_arrays(columns, ["a", "b", "s", "n", "pos"])
+    return out, (int(s[left[-1]]) if len(left) else many)
 
 
 def node_sets(docs: DataFrame, wanted: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
@@ -290,7 +343,8 @@ def similar_components(
     """
     if not 0 < percent <= 100 or size < 1:
         raise ValueError("percent must be in 1..100 and size at least 1")
-    members = stage(shingled(docs, size, percent, id_col, text_col))
+    frequent = docs.sparkSession.sparkContext.broadcast(frequent_shingles(docs, size, text_col))  # at most 8 MB
+    members = stage(shingled(docs, frequent, size, percent, id_col, text_col))
     nodes = stage(
         members.where("node IS NOT NULL")
         .groupBy("node")
@@ -299,12 +353,18 @@ def similar_components(
             F.first("bits", ignorenulls=True).alias("bits"),
         )
     )
-    tiled = stage(_tiles(shared_rows(members), percent))
+    rows = stage(shared_rows(members, frequent))
+    met = stage(paired(rows.where(~F.col("often")), percent))
+    many = rows.where("often").select("node", "n", "s", "pos").union(
+        met.where("s IS NOT NULL").select(F.col("a").alias("node"), "n", "s", "pos")
+    )
+    tiled = stage(_tiles(many, percent))
 
     leaders = tiled.groupBy("s", "band").agg(F.min(F.struct("pos", "node", "n")).alias("l"))
     starred = tiled.join(leaders, ["s", "band"]).where("node <> l.node")
     close = _possible(F.col("n"), F.col("pos"), F.col("l.n"), F.col("l.pos"), percent)
-    first = stage(_pairs(starred.where(close), F.col("node"), F.col("l.node")))
+    stars = _pairs(starred.where(close), F.col("node"), F.col("l.node"))
+    first = stage(met.where("s IS NULL").select("a", "b").union(stars).distinct())
 
     def links_of(pairs: DataFrame) -> DataFrame:
         pairs = stage(likely(pairs, nodes, percent))
@@ -319,17 +379,15 @@ def similar_components(
     links = links_of(first)
     roots = components(links, stage)
 
-    placed = tiled.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    placed = stage(placed)
+    placed = stage(tiled.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
     mixed = placed.groupBy("s", "band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
     open_tiles = stage(placed.join(mixed.select("s", "band"), ["s", "band"], "left_semi"))
     x, y = open_tiles.alias("x"), open_tiles.where("own").alias("y")
     close = _possible(F.col("x.n"), F.col("x.pos"), F.col("y.n"), F.col("y.pos"), percent)
     smaller = (F.col("y.n") < F.col("x.n")) | ((F.col("y.n") == F.col("x.n")) & (F.col("y.node") < F.col("x.node")))
-    met = (
-        x.join(y, (F.col("x.s") == F.col("y.s")) & (F.col("x.band") == F.col("y.band")) & (F.col("x.root") != F.col("y.root")) & smaller & close)
-    )
-    second = stage(_pairs(met, F.col("x.node"), F.col("y.node")).join(first, ["a", "b"], "left_anti"))
+    same_tile = (F.col("x.s") == F.col("y.s")) & (F.col("x.band") == F.col("y.band"))
+    apart = x.join(y, same_tile & (F.col("x.root") != F.col("y.root")) & smaller & close)
+    second = stage(_pairs(apart, F.col("x.node"), F.col("y.node")).join(first, ["a", "b"], "left_anti"))
     if not second.isEmpty():
         links = stage(links.union(links_of(second)))
         roots = components(links, stage)
