@@ -7,35 +7,23 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-HOT_KEYS = 200  # most keys that are spread; also the row bound of the broadcast hot-key table
 ROWS_PER_TASK = 20_000_000  # a key with more rows than this is spread over several tasks
-_SKETCH_ITEMS = 16384
 MAX_BROADCAST_ROWS = 1_000_000  # most ids sent to every executor
-_BYTES_PER_ROW = 4  # low guess of the stored size of a row
-
-
-def _estimated_bytes(df: DataFrame) -> int:
-    """Size of the table as the optimizer estimates it, without running anything."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 def hot_keys(df: DataFrame, on: Sequence[str], rows_per_task: int) -> list[tuple[int, int]]:
     """(key hash, number of parts) of the keys with more than ``rows_per_task`` rows.
 
-    One pass over the key columns with a heavy-hitter sketch of fixed size, left out for
-    tables too small to have such a key.  It only steers how rows are spread; no result
-    depends on it.
+    Keys are counted exactly, map side first.  At most one key in ``rows_per_task`` rows can be hot, which
+    bounds the list.  It only steers how rows are spread; no result depends on it.
     """
-    if _estimated_bytes(df) < rows_per_task * _BYTES_PER_ROW:
-        return []
-    found = df.select(F.xxhash64(*on).alias("k")).agg(
-        F.call_function("approx_top_k", "k", F.lit(HOT_KEYS), F.lit(_SKETCH_ITEMS)).alias("top")
-    ).first()["top"]
-    return [(r["item"], -(-r["count"] // rows_per_task)) for r in found or [] if r["count"] > rows_per_task]
+    counted = df.select(F.xxhash64(*on).alias("k")).groupBy("k").count()
+    found = counted.where(F.col("count") > rows_per_task).collect()
+    return [(r["k"], -(-r["count"] // rows_per_task)) for r in found]
 
 
 def _parts(df: DataFrame, on: Sequence[str], hot: list[tuple[int, int]], name: str) -> DataFrame:
-    table = df.sparkSession.createDataFrame(hot, f"_k bigint, {name} int")  # <= HOT_KEYS rows
+    table = df.sparkSession.createDataFrame(hot, f"_k bigint, {name} int")  # one row in rows_per_task at most
     return (
         df.withColumn("_k", F.xxhash64(*on))
         .join(F.broadcast(table), "_k", "left")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ionweave.operators.filters import query_tables
 
-MAX_TABLES = 63  # presence is kept as one bit per table
+_BITS = 62  # tables whose presence shares one number
 
 
 def presence(tables: Mapping[str, DataFrame], keys: Sequence[str]) -> DataFrame:
@@ -18,18 +18,23 @@ def presence(tables: Mapping[str, DataFrame], keys: Sequence[str]) -> DataFrame:
     Nulls in a key are equal to each other.  Each table adds its bit in the map tasks, so
     repeated keys need no distinct of their own.
     """
-    if not 0 < len(tables) <= MAX_TABLES:
-        raise ValueError(f"between 1 and {MAX_TABLES} tables, not {len(tables)}")
+    if not tables:
+        raise ValueError("no tables")
     if clash := set(tables) & set(keys):
         raise ValueError(f"table names equal to key names: {sorted(clash)}")
-    tagged = None
+    tagged, words = None, -(-len(tables) // _BITS)
     for i, table in enumerate(tables.values()):
-        part = table.select(*keys, F.lit(1 << i).cast("bigint").alias("_bits"))
+        own = [F.lit((1 << i % _BITS) * (i // _BITS == w)).cast("bigint").alias(f"_bits{w}") for w in range(words)]
+        part = table.select(*keys, *own)
         tagged = part if tagged is None else tagged.unionAll(part)
-    per_key = tagged.groupBy(*keys).agg(F.bit_or("_bits").alias("_bits"))
+    per_key = tagged.groupBy(*keys).agg(*[F.bit_or(f"_bits{w}").alias(f"_bits{w}") for w in range(words)])
+
+    def present(i: int):
+        return F.getbit(F.col(f"_bits{i // _BITS}"), F.lit(i % _BITS)) == 1
+
     return per_key.select(
         *keys,
-        *[F.col("_bits").bitwiseAND(F.lit(1 << i).cast("bigint")).__ne__(0).alias(n) for i, n in enumerate(tables)],
+        *[present(i).alias(n) for i, n in enumerate(tables)],
     )
 
 

@@ -26,10 +26,12 @@ def draw_per_class(
 
     Draw ``i`` of a class takes the row whose index in the class, ordered by ``order_by``,
     is a hash of (seed, class, i) modulo the class size.  ``balanced=True`` demands classes 0
-    and 1 of equal size.  Only the drawn positions travel: ``2 k`` rows.
+    and 1 of equal size and draws from no other label.  Only the drawn positions travel: ``k`` rows a
+    class.  The result is sorted by ``order_by``, then the label.
     """
     if balanced:
         require_balanced(edges, label)
+        edges = edges.where(F.col(label).isin(0, 1))
     indexed = with_row_index(edges, order_by, by=[label], name="_at", size_name="_rows")
     sizes = indexed.groupBy(label).agg(F.first("_rows").alias("_rows"))
     digest = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(label).cast("string"), F.col("_draw").cast("string")))
@@ -40,4 +42,4 @@ def draw_per_class(
     )
     if balanced and 2 * k <= _BROADCAST_DRAWS:  # two classes, so 2 k rows
         draws = F.broadcast(draws)
-    return indexed.join(draws, [label, "_at"]).select(*edges.columns)
+    return indexed.join(draws, [label, "_at"]).select(*edges.columns).orderBy(*order_by, label)

@@ -110,14 +110,16 @@ def tolerance_update(
 def filtered_edge_table(
     edges: DataFrame, predicate: str | Column, path: str, order_by: Sequence[str] = EDGE_KEY
 ) -> DataFrame:
-    """Filter edges, store them sorted, and check the stored order."""
+    """Filter edges, store them sorted in a new folder, and check the stored order."""
     kept = filter_edges(edges, predicate, order_by)
     parts = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     in_index_order = kept.repartitionByRange(parts, "original_idx").sortWithinPartitions("original_idx")
-    in_index_order.write.mode("append").parquet(path)
+    in_index_order.write.mode("errorifexists").parquet(path)
     stored = edges.sparkSession.read.schema(kept.schema).parquet(path)
     placed = stored.select(
-        "original_idx", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")
+        "original_idx",
+        F.regexp_extract("_metadata.file_path", r"part-(\d+)[^/]*$", 1).cast("bigint").alias("file"),
+        F.col("_metadata.row_index").alias("row"),
     )
     require_sorted(check_increasing(placed, "original_idx", ["file", "row"]), "stored edges are out of order")
     return stored

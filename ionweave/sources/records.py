@@ -5,15 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ionweave.staging import stage
+
 RECORD_END = "END IONS"  # fixed value: text in the last line of a spectrum
-_BROADCAST_TAILS = 1_000_000
 
 
 def read_records(spark: SparkSession, path: str, line_end: str = "\n") -> DataFrame:
     """Spectra of text files: (file, block, row, text).
 
     ``block`` and ``row`` give the order within a file.  A file is read in splits, not as
-    a whole.  Text behind the last ``END IONS`` line of a file is dropped.
+    a whole, and stored once with these places, which then no longer depend on how it is split.  Text behind
+    the last ``END IONS`` line of a file is dropped.  The job fails on a line that holds
+    ``END IONS`` and more; files with other line ends need ``line_end``.
     """
     separator = RECORD_END + line_end
     raw = spark.read.option("lineSep", separator).text(path).select(
@@ -23,6 +26,7 @@ def read_records(spark: SparkSession, path: str, line_end: str = "\n") -> DataFr
         F.col("_metadata.file_size").alias("_size"),
         "value",
     )
+    raw = stage(raw, "records")
     # the scan strips separators; a file is longer than its text with one per row only if
     # its last row had none
     spans = F.sum(F.octet_length("value") + len(separator.encode()))
@@ -38,14 +42,15 @@ def read_records(spark: SparkSession, path: str, line_end: str = "\n") -> DataFr
         .where(F.col("_span") > F.col("_size"))
         .select("file", "_at.block", "_at.row", "_ended")
     )
-    known = tails.limit(_BROADCAST_TAILS + 1).count()  # at most one per file
     text = F.concat("value", F.lit(separator))
-    if not known:
-        return raw.select("file", "block", "row", text.alias("text"))
-    tails = F.broadcast(tails) if known <= _BROADCAST_TAILS else tails
+    whole = F.when(F.col("_ended"), F.col("value").endswith(RECORD_END)).otherwise(
+        ~F.col("value").contains(RECORD_END)
+    )
+    odd = F.raise_error(F.concat(F.lit(f"a line holds {RECORD_END} and more in "), "file")).cast("string")
     joined = raw.join(tails, ["file", "block", "row"], "left")
     return joined.where(F.coalesce("_ended", F.lit(True))).select(
-        "file", "block", "row", F.when(F.col("_ended"), F.col("value")).otherwise(text).alias("text")
+        "file", "block", "row",
+        F.when(~whole, odd).when(F.col("_ended"), F.col("value")).otherwise(text).alias("text"),
     )
 
 

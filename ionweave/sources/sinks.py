@@ -41,7 +41,7 @@ def write_shards(records: DataFrame, bins: DataFrame, path: str, file: str, seq:
     (
         placed.repartition(file, "bin")
         .sortWithinPartitions(file, "bin", seq)
-        .select(file, "bin", F.regexp_replace(text, "\n$", "").alias("value"))
+        .select(file, "bin", F.regexp_replace(text, r"\n\z", "").alias("value"))
         .write.mode("errorifexists")
         .partitionBy(file, "bin")
         .text(path)

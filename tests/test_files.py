@@ -165,3 +165,55 @@ def test_positions_of_stored_rows(spark, tmp_path):
     spark.range(10).coalesce(1).write.parquet(path)
     rows = tables.read_with_position(spark, path, ["id"]).collect()
     assert sorted((r["id"], r["row"]) for r in rows) == [(i, i) for i in range(10)]
+
+
+def test_shards_keep_blank_last_lines(spark, tmp_path):
+    from ionweave.sources.sinks import write_shards
+
+    rows = [("f", 0, "abc\n\n"), ("f", 1, "x\n"), ("f", 2, "\n\n\n")]
+    records = spark.createDataFrame(rows, "file string, seq long, text string")
+    bins = spark.createDataFrame([("f", i, 0) for i in range(3)], "file string, seq long, bin long")
+    write_shards(records, bins, str(tmp_path / "out"), "file", "seq", "text")
+    (shard,) = (tmp_path / "out").glob("file=f/bin=0/part-*.txt")
+    assert shard.read_text() == "".join(r[2] for r in rows)
+
+
+def test_records_do_not_depend_on_later_splits(spark, tmp_path):
+    from ionweave.plans.jobs import spectrum_shards
+    from ionweave.sources.records import read_records
+
+    for f in range(3):
+        (tmp_path / f"in{f}.mgf").write_text("".join(f"BEGIN IONS\nT={f}.{i}\nEND IONS\n" for i in range(400)))
+    source = str(tmp_path / "in*.mgf")
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+        records = read_records(spark, source)
+        before = sorted(records.collect())
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "5000")
+        assert sorted(records.collect()) == before and len(before) == 1200
+        bins = spectrum_shards(spark, source, str(tmp_path / "out"), 2000)
+        assert bins.count() == 1200
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    text = "".join(p.read_text() for p in sorted((tmp_path / "out").rglob("part-*.txt")))
+    assert text.count("END IONS") == 1200 == len({x for x in text.split("\n") if x.startswith("T=")})
+
+
+@pytest.mark.parametrize("end", ["END IONS\r\n", "END IONS \n"])
+def test_other_record_ends_are_refused(spark, tmp_path, end):
+    from ionweave.sources.records import read_records
+
+    (tmp_path / "a.mgf").write_bytes(("BEGIN IONS\n" + end).encode() * 3)
+    with pytest.raises(Exception, match="holds END IONS and more"):
+        read_records(spark, str(tmp_path / "a.mgf")).collect()
+
+
+def test_stored_edges_refuse_a_folder_in_use(spark, tmp_path):
+    from ionweave.plans.jobs import filtered_edge_table
+
+    edges = spark.createDataFrame([(i, i, 1.0) for i in range(50)], "MS1_ClusterID long, MS2_ClusterID long, score double")
+    assert filtered_edge_table(edges, "score > 0", str(tmp_path / "e")).count() == 50
+    with pytest.raises(Exception, match="(?i)exist"):
+        filtered_edge_table(edges, "score > 0", str(tmp_path / "e"))
+    assert spark.read.parquet(str(tmp_path / "e")).count() == 50

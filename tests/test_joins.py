@@ -194,3 +194,18 @@ def test_spectrum_lines_order(spark):
         "BEGIN IONS\nTITLE=spectrum.1\nPEPMASS=400.5000\nRTINSECONDS=12.0000\nCHARGE=2\n"
         "100.2500 3.0000\n100.2500 9.0000\n300.0000 7.0000\nEND IONS"
     )
+
+
+def test_all_hot_keys_are_found(spark):
+    many = spark.range(300_000).select((F.col("id") % 500).alias("k"))
+    assert len(joins.hot_keys(many, ["k"], 500)) == 500
+    one = spark.range(300_000).select(F.lit(7).alias("k"))
+    assert [n for _, n in joins.hot_keys(one, ["k"], 100_000)] == [3]
+
+
+def test_presence_in_many_tables(spark):
+    from ionweave.operators.membership import presence
+
+    tables = {f"t{i}": spark.createDataFrame([(i,), (1000,)], "k long") for i in range(130)}
+    found = {r["k"]: [i for i in range(130) if r[f"t{i}"]] for r in presence(tables, ["k"]).collect()}
+    assert found == {i: [i] for i in range(130)} | {1000: list(range(130))}

@@ -139,3 +139,34 @@ def test_quantiles_against_numpy(spark, steps):
 def test_quantiles_without_groups(spark):
     got = ordering.exact_quantiles(spark.range(101).selectExpr("cast(id AS double) AS x"), "x", 4)
     assert [r["value"] for r in got.orderBy("step").collect()] == [0.0, 25.0, 50.0, 75.0, 100.0]
+
+
+def test_draws_leave_other_labels_out(spark):
+    from ionweave.operators.sampling import draw_per_class
+
+    rows = [(i, i, y) for i, y in enumerate([0, 1, 2, None] * 6)]
+    edges = spark.createDataFrame(rows, "MS1_ClusterID long, MS2_ClusterID long, Y int")
+    got = [tuple(r) for r in draw_per_class(edges, 5).collect()]
+    assert sorted(y for _, _, y in got) == [0] * 5 + [1] * 5
+    assert got == sorted(got)
+
+
+def test_missing_median_fails(spark):
+    from ionweave.operators.calibration import recalibrated
+
+    stats = spark.createDataFrame([(100.0,)], "mz_wmean double")
+    odd = spark.createDataFrame([(0.4, 2.0), (0.6, 3.0)], "probability double, ms1 double")
+    with pytest.raises(Exception, match="no median"):
+        recalibrated(stats, odd, "ms1").collect()
+    assert recalibrated(stats, odd.limit(0), "ms1").first()[0] == 100.0
+
+
+def test_configuration_keeps_its_fields(spark):
+    import json
+
+    from ionweave.operators.calibration import updated_configs
+
+    config = {"static_mods": {}, "x": {"k": {}}, "mixed": [1, "a", None], "precursor_tol": {"ppm": [0, 0], "z": 1.5}}
+    limits = spark.createDataFrame([(-1.0, 1.0, -2.0, 2.5)], "ms1_lo double, ms1_hi double, ms2_lo double, ms2_hi double")
+    got = json.loads(updated_configs(limits, config).first()["config"])
+    assert got == config | {"precursor_tol": {"ppm": [-1.0, 1.0], "z": 1.5}, "fragment_tol": {"ppm": [-2.0, 2.5]}}
