@@ -31,7 +31,7 @@ from ionweave.llm.textual import strings
 from ionweave.llm.tokens import encoder
 
 MAGIC = b"IDSHARD1"
-SHARD_IDS = 16_000_000  # ids after which a shard is closed: 32 or 64 MB
+SHARD_IDS = 4_000_000  # ids after which a shard is closed: 8 or 16 MB
 
 
 def pack_shard(parts: list[np.ndarray], doc_ids: list[int | None], width: int) -> bytes:

@@ -36,7 +36,7 @@ _WORD_PARTS = re.compile(
     rf"'[sS]|'[tT]|'[rR][eE]|'[vV][eE]|'[mM]|'[lL][lL]|'[dD]|[{_LETTER}]+|[0-9]|[{_SIGN}]+"
 )
 _LONGEST_KEPT = 64  # characters of a part that may be kept
-_WORDS_AT_ONCE = 1_000_000  # pieces whose ids are put together at a time
+_WORDS_AT_ONCE = 250_000  # pieces whose ids are put together at a time
 
 
 def _byte_letters() -> str:
@@ -71,7 +71,7 @@ class Kept(dict):
 class Encoder:
     """Ids of texts, as unsigned numbers of the smallest width that holds the vocabulary."""
 
-    def __init__(self, path: str, limit: int = 400_000):
+    def __init__(self, path: str, limit: int = 250_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_padding()
