@@ -36,7 +36,7 @@ from ionweave.llm.components import components
 from ionweave.llm.textual import shingles
 
 FREQUENT = 500_000  # rows of the table of frequent shingles
-OFTEN = 4  # a task reports shingles that so many of its documents have
+OFTEN = 2  # a task reports shingles that so many of its documents have
 FILTER_BITS = 1 << 27  # 16 MB
 FEW = 16  # nodes of a shingle that are paired at once
 BUCKET = 4_000_000  # shingles that meet in one task, about
