@@ -35,7 +35,7 @@ from xxhash import xxh3_64_intdigest
 from ionweave.llm.components import components
 from ionweave.llm.textual import shingles
 
-FREQUENT = 500_000  # rows of the table of frequent shingles
+FREQUENT = 1_000_000  # rows of the table of frequent shingles, at most
 OFTEN = 2  # a task reports shingles that so many of its documents have
 FILTER_BITS = 1 << 27  # 16 MB
 FEW = 16  # nodes of a shingle that are paired at once
@@ -49,8 +49,14 @@ def _signed(values: np.ndarray) -> np.ndarray:
     return values.view(np.int64)
 
 
-def frequent_shingles(docs: DataFrame, size: int, text_col: str = "text") -> tuple[np.ndarray, np.ndarray]:
-    """Sorted hashes of shingles that many documents have, and how many have them."""
+def frequent_shingles(
+    docs: DataFrame, size: int, stage: Stage, text_col: str = "text"
+) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes of shingles that many documents have, and how many have them.
+
+    A count of shingles per class of frequency shows from which class on the table has ``FREQUENT`` rows
+    at most; only these rows get to the driver.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: list[np.ndarray] = []
@@ -65,9 +71,17 @@ def frequent_shingles(docs: DataFrame, size: int, text_col: str = "text") -> tup
             value, n = np.concatenate(kept, axis=1)
             yield pa.RecordBatch.from_pydict({"s": value, "n": n})
 
-    counted = docs.select(F.col(f"`{text_col}`").alias("t")).mapInArrow(count, "s long, n long")
-    top = counted.groupBy("s").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "s").limit(FREQUENT).toPandas()
-    value, n = top["s"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(np.int64)
+    reported = docs.select(F.col(f"`{text_col}`").alias("t")).mapInArrow(count, "s long, n long")
+    often = F.floor(8 * F.log2("n")).cast("int")  # below 8 * 64
+    counted = stage(reported.groupBy("s").agg(F.sum("n").alias("n")).withColumn("class", often))
+    rows, least = 0, 8 * 64
+    for r in sorted(counted.groupBy("class").agg(F.count("*").alias("rows")).collect(), reverse=True):
+        rows += r["rows"]
+        if rows > FREQUENT:
+            break
+        least = r["class"]
+    top = counted.where(F.col("class") >= least).select("s", "n").toArrow()
+    value, n = top["s"].to_numpy().view(np.uint64), top["n"].to_numpy()
     order = np.argsort(value)
     return value[order], n[order]
 
@@ -343,7 +357,7 @@ def similar_components(
     """
     if not 0 < percent <= 100 or size < 1:
         raise ValueError("percent must be in 1..100 and size at least 1")
-    frequent = docs.sparkSession.sparkContext.broadcast(frequent_shingles(docs, size, text_col))  # at most 8 MB
+    frequent = docs.sparkSession.sparkContext.broadcast(frequent_shingles(docs, size, stage, text_col))  # at most 16 MB
     members = stage(shingled(docs, frequent, size, percent, id_col, text_col))
     nodes = stage(
         members.where("node IS NOT NULL")
