@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from pyspark.sql import types as T
 from ionweave.functions.numeric import dyadic
 from ionweave.functions.text import DECOY_PATTERN, SHORT_TAG, modification_tag
 from ionweave.operators.ordering import with_batch_id, with_row_index
+from ionweave.staging import new_path, stage
 
 # Defaults of the confidence filter and the three extent axes.
 Q_COLUMN = "mokapot q-value"
@@ -18,6 +20,7 @@ Q_LIMIT = 0.01
 EXTENT_AXES = ("frame", "retention_time", "inv_ion_mobility")
 
 EDGE_KEY = ("MS1_ClusterID", "MS2_ClusterID")
+BATCHES_PER_JOB = 16  # batches that one job filters side by side
 
 
 def confident_targets(
@@ -67,16 +70,23 @@ def filter_edges_batched(
     order_by: Sequence[str] = EDGE_KEY,
     index: str = "original_idx",
 ) -> DataFrame:
-    """Filter edges by SQL that looks at whole batches of ``batch_size`` neighbours.
+    """Filter edges by SQL that is run on each batch of ``batch_size`` neighbours.
 
-    ``{local_edges}`` in the SQL is the table of edges with its index and a ``batch_id``;
-    window functions say ``PARTITION BY batch_id``.  Raises if the result lost the index or
-    holds an edge twice.
+    ``{local_edges}`` in the SQL is one batch, with its index and a ``batch_id``.  Runs at once: the indexed
+    edges are stored in folders by batch, a job filters ``BATCHES_PER_JOB`` of them and adds its
+    rows to the result.  Raises if the result lost the index or holds an edge twice.
     """
     indexed = with_batch_id(with_row_index(edges, order_by, name=index), batch_size, index)
-    out = query_tables(sql, local_edges=indexed)
-    if index not in out.columns:
-        raise ValueError(f"the filter dropped {index}")
+    stored = stage(indexed, "batches", by=["batch_id"])
+    last = stored.agg(F.max("batch_id")).first()[0] or 0
+    spark, path = edges.sparkSession, new_path(edges.sparkSession, "filtered")
+    for start in range(0, last + 1, BATCHES_PER_JOB):
+        numbers = range(start, min(start + BATCHES_PER_JOB, last + 1))
+        parts = [query_tables(sql, local_edges=stored.where(F.col("batch_id") == i)) for i in numbers]
+        if index not in parts[0].columns:
+            raise ValueError(f"the filter dropped {index}")
+        reduce(DataFrame.union, parts).write.mode("append").parquet(path)
+    out = spark.read.schema(parts[0].schema).parquet(path)
     twice = out.groupBy(index).count().where("count > 1").first()
     if twice:
         raise ValueError(f"the filter repeats edge {twice[index]}")

@@ -151,8 +151,9 @@ def check_sorted(
     its predecessor (a struct when ``order_by`` has several columns).
 
     Positions are cut into blocks of at most ``block_rows`` rows; a block becomes its
-    first and last key, and blocks are combined the same way once more, so that the
-    closing step sees one row per ``block_rows**2`` rows.
+    first and last key, and blocks are combined the same way once more.  What is left, at least one
+    row per value of the other columns, is combined by range partitions, so that the closing step sees one
+    row per partition.
     """
     *outer, position = order_by
     runs = df.select(
@@ -167,6 +168,9 @@ def check_sorted(
     for _ in range(2):
         runs = runs.withColumn("_at", int_div(F.col("_at"), block_rows))
         runs = _combine_runs(runs, [*outer, "_at"], strict)
+    if outer:
+        ranged = runs.repartitionByRange(_slice_count(df), "_start")
+        runs = _combine_runs(ranged.withColumn("_at", F.spark_partition_id()), ["_at"], strict)
     runs = _combine_runs(runs, [], strict)
     first = F.col("_bad_at") if outer else F.col("_bad_at").getField(position)
     bad = F.coalesce(F.col("_bad"), F.lit(0).cast("bigint"))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ionweave.functions.numeric import exact_decimal
+from ionweave.functions.numeric import UNIT_SCALE, exact_parts, exact_total
 from ionweave.functions.text import (
     PHOSPHO_PATTERN,
     cluster_id,
@@ -147,31 +147,53 @@ def cluster_stats(
     axes: Mapping[str, str],
     weight: str = "intensity",
     key: str = "ClusterID",
-    scale: int = 4,
 ) -> DataFrame:
     """Size, total weight and, per axis, weighted mean, minimum and maximum of each cluster.
 
     ``axes`` maps a point column to the name used in the output (``<name>_wmean``, ``_min``,
-    ``_max``).  Sums are decimal, so the means do not depend on the order of rows.
+    ``_max``).  Values are added up exactly, map side, per cluster and scale, and then over the few scales of a
+    cluster: results do not depend on the order of rows, and digits are not cut.  Means with
+    weights of at least 0 lie between minimum and maximum.
     """
-    w = exact_decimal(F.col(weight), scale)
-    total = F.sum(w)
-    out = [F.count(F.lit(1)).alias("size"), total.cast("double").alias(f"{weight}_sum")]
-    for column, name in axes.items():
-        weighted = F.sum(exact_decimal(F.col(column), scale) * w)
-        out += [
-            (weighted.cast("double") / total.cast("double")).alias(f"{name}_wmean"),
-            F.min(column).alias(f"{name}_min"),
-            F.max(column).alias(f"{name}_max"),
-        ]
-    return points.groupBy(key).agg(*out)
+    w = F.col(weight).cast("double")
+    amounts = [w, *[F.col(c).cast("double") * w for c in axes]]
+    columns = [F.col(key), w.alias("_w"), *[F.col(c).alias(f"_x{i}") for i, c in enumerate(axes, 1)]]
+    for i, amount in enumerate(amounts):
+        scale, whole, odd = exact_parts(amount)
+        columns += [scale.alias(f"_scale{i}"), whole.cast("decimal(28,0)").alias(f"_whole{i}"), odd.alias(f"_odd{i}")]
+    ends = range(1, len(amounts))
+    by_scale = points.select(*columns).groupBy(key, *[f"_scale{i}" for i in range(len(amounts))]).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.min("_w").alias("_w"),
+        *[F.sum(f"_{part}{i}").alias(f"_{part}{i}") for part in ("whole", "odd") for i in range(len(amounts))],
+        *[F.min(f"_x{i}").alias(f"_lo{i}") for i in ends],
+        *[F.max(f"_x{i}").alias(f"_hi{i}") for i in ends],
+    )
+    totals = by_scale.groupBy(key).agg(
+        F.sum("_n").alias("_n"),
+        F.min("_w").alias("_w"),
+        *[
+            exact_total(F.col(f"_scale{i}"), F.col(f"_whole{i}"), F.col(f"_odd{i}")).alias(f"_total{i}")
+            for i in range(len(amounts))
+        ],
+        *[F.min(f"_lo{i}").alias(f"_lo{i}") for i in ends],
+        *[F.max(f"_hi{i}").alias(f"_hi{i}") for i in ends],
+    )
+    out = [F.col(key), F.col("_n").alias("size"), F.col("_total0").alias(f"{weight}_sum")]
+    for i, name in enumerate(axes.values(), 1):
+        lo, hi, mean = F.col(f"_lo{i}"), F.col(f"_hi{i}"), F.col(f"_total{i}") / F.col("_total0")
+        inside = F.greatest(F.least(mean, hi.cast("double")), lo.cast("double"))
+        mean = F.when((F.col("_w") >= 0) & ~F.isnan(mean), inside).otherwise(mean)
+        out += [mean.alias(f"{name}_wmean"), lo.alias(f"{name}_min"), hi.alias(f"{name}_max")]
+    return totals.select(*out)
 
 
-def summarize_table(df: DataFrame, scale: int = 4) -> DataFrame:
+def summarize_table(df: DataFrame) -> DataFrame:
     """One row per numeric column: n, n_null, n_distinct, min, max and mean.
 
     Values are counted by (column, value) first: equal values meet in the map tasks, and
-    all columns share one scan.  Means come from decimal sums with ``scale`` digits.
+    all columns share one scan.  Means come from exact sums, in any order of rows.  Minimum and maximum are
+    doubles, as one column serves all types.
     """
     whole = [f.name for f in df.schema if isinstance(f.dataType, T.IntegralType)]
     broken = [f.name for f in df.schema if isinstance(f.dataType, (T.FractionalType,))]
@@ -189,21 +211,34 @@ def summarize_table(df: DataFrame, scale: int = 4) -> DataFrame:
     values = df.select(F.inline(F.array(*entries)))
     counted = values.groupBy("at", "whole", "broken").agg(F.count(F.lit(1)).alias("k"))
     name = F.element_at(F.array(*[F.lit(c) for c in names]), F.col("at") + 1)
-    value = F.coalesce(F.col("broken"), F.col("whole").cast("double"))
-    amount = F.coalesce(F.col("broken").try_cast(f"decimal(18,{scale})"), F.col("whole").cast("decimal(20,0)"))
-    present = value.isNotNull()
-    k = F.col("k")
-    rows_present = F.sum(F.when(present, k))
-    exact = F.sum(amount * k.cast("decimal(18,0)")).cast("double") / rows_present
-    fits = F.count_if(present & amount.isNull()) == 0  # huge values, infinities and NaN do not
-    return counted.groupBy("at").agg(
+    scale, mantissa, odd = exact_parts(F.col("broken"))
+    amount = F.coalesce("whole", mantissa).cast("decimal(19,0)") * F.col("k").cast("decimal(18,0)")
+    by_scale = (
+        counted.select(
+            "at", "k", F.coalesce(F.col("broken"), F.col("whole").cast("double")).alias("value"),
+            F.when(F.col("whole").isNotNull(), UNIT_SCALE).otherwise(scale).alias("scale"),
+            amount.alias("amount"), odd.alias("odd"),
+        )
+        .groupBy("at", "scale")
+        .agg(
+            F.sum("k").alias("n"),
+            F.sum(F.when(F.col("value").isNotNull(), F.col("k")).otherwise(0)).alias("present"),
+            F.count("value").alias("n_distinct"),
+            F.min("value").alias("min"),
+            F.max("value").alias("max"),
+            F.sum("amount").alias("amount"),
+            F.sum("odd").alias("odd"),
+        )
+    )
+    total = exact_total(F.col("scale"), F.col("amount"), F.col("odd"))
+    return by_scale.groupBy("at").agg(
         F.first(name).alias("column"),
-        F.sum(k).alias("n"),
-        F.sum(F.when(present, 0).otherwise(k)).cast("bigint").alias("n_null"),
-        F.count_if(present).alias("n_distinct"),
-        F.min(value).alias("min"),
-        F.max(value).alias("max"),
-        F.when(fits, exact).otherwise(F.sum(value * k) / rows_present).alias("mean"),
+        F.sum("n").alias("n"),
+        (F.sum("n") - F.sum("present")).alias("n_null"),
+        F.sum("n_distinct").alias("n_distinct"),
+        F.min("min").alias("min"),
+        F.max("max").alias("max"),
+        (total / F.nullif(F.sum("present"), F.lit(0))).alias("mean"),
     ).drop("at")
 
 

@@ -36,8 +36,11 @@ MS1_ALIGNED = {
     "scan_wmean": "scan_wmean",
     "retention_time_wmean": "retention_time_wmean",
 }
-MS2_ALIGNED = {**MS1_ALIGNED, "precursor_mz_pred_fastmist": "precursor_mz_wmean"}
-del MS2_ALIGNED["mz_wmean"]
+MS2_ALIGNED = {
+    "precursor_mz_pred_fastmist": "precursor_mz_wmean",
+    "scan_wmean": "scan_wmean",
+    "retention_time_wmean": "retention_time_wmean",
+}
 
 
 def fragment_table(psms: DataFrame, fragments: DataFrame) -> DataFrame:

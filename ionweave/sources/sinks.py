@@ -71,22 +71,21 @@ def result_rows(documents: DataFrame, next_id: int = 1) -> DataFrame:
     ``documents`` has ``result`` and may have ``command`` and ``reproducibility``.  Ids count on
     from ``next_id`` in the order of command and result; the date is the arrival time in whole seconds.
     """
+    numbered = with_row_index(_results(documents), ["command", "result"], name="_at", unique=False)
+    return numbered.select((F.col("_at") + next_id).alias("id"), "date", "command", "result", "reproducibility")
+
+
+def _results(documents: DataFrame) -> DataFrame:
+    """The columns of result documents but the id."""
     have = documents.columns
     command = F.col("command") if "command" in have else F.lit(DEFAULT_COMMAND)
     extra = F.col("reproducibility") if "reproducibility" in have else F.lit(None).cast("string")
-    rows = documents.select(
+    return documents.select(
+        F.date_trunc("second", F.current_timestamp()).alias("date"),
         command.alias("command"),
         checked_json(F.col("result")).alias("result"),
         F.coalesce(extra, F.lit("{}")).alias("reproducibility"),
     )
-    numbered = with_row_index(rows, ["command", "result"], name="_at", unique=False)
-    return numbered.select(
-        (F.col("_at") + next_id).alias("id"),
-        F.date_trunc("second", F.current_timestamp()).alias("date"),
-        "command",
-        "result",
-        "reproducibility",
-    )
 
 
 def append_results(documents: DataFrame, path: str) -> None:
@@ -100,5 +99,4 @@ def append_results(documents: DataFrame, path: str) -> None:
 
 def append_results_jdbc(documents: DataFrame, url: str, table: str, **options: str) -> None:
     """Append result documents to a database table, whose identity column gives the ids."""
-    rows = result_rows(documents).drop("id")
-    rows.write.format("jdbc").options(url=url, dbtable=table, **options).mode("append").save()
+    _results(documents).write.format("jdbc").options(url=url, dbtable=table, **options).mode("append").save()

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,11 +43,12 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, label: str = "stage") -> DataFrame:
-    """Write ``df`` to the shared folder and return a scan of the written table."""
+def stage(df: DataFrame, label: str = "stage", by: Sequence[str] = ()) -> DataFrame:
+    """Write ``df`` to the shared folder, in folders by the values of ``by``, and return a scan of the written table."""
     spark = df.sparkSession
     path = new_path(spark, label)
-    df.write.parquet(path)
+    writer = df.write.partitionBy(*by) if by else df.write
+    writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -106,6 +106,36 @@ def test_cluster_stats_do_not_depend_on_order(spark):
     assert stats(df) == stats(df.orderBy(F.rand(3)))
 
 
+def test_means_keep_all_digits(spark):
+    points = [(1, 500.00004, 1.0), (1, 500.00004, 7.0), (2, 3.0, 1e-5), (2, 5.0, 3e-5), (3, None, 1.0), (3, None, None)]
+    df = spark.createDataFrame(points, "ClusterID long, mz double, intensity double")
+    got = {r["ClusterID"]: r for r in summaries.cluster_stats(df, {"mz": "mz"}).collect()}
+    assert got[1]["mz_wmean"] == 500.00004 and got[1]["intensity_sum"] == 8.0 and got[1]["size"] == 2
+    assert got[2]["mz_wmean"] == pytest.approx(4.5, rel=1e-15)
+    assert (got[3]["mz_wmean"], got[3]["mz_min"], got[3]["intensity_sum"]) == (None, None, 1.0)
+
+
+def test_means_of_values_of_all_sizes(spark):
+    rng = np.random.default_rng(2)
+    wide = [float(x) for x in rng.normal(size=500) * 10.0 ** rng.integers(-300, 290, 500)]
+    columns = {
+        "small": [1e-5, 3e-5], "wide": wide, "cancel": [1e300, 1.0, -1e300, 0.0], "least": [5e-324, 5e-324, None],
+        "none": [None, None], "endless": [float("inf"), 1.0], "mixed": [float("inf"), -float("inf")],
+    }
+    for name, values in columns.items():
+        df = spark.createDataFrame([(v,) for v in values], "d double")
+        row = one(summaries.summarize_table(df))
+        present = [v for v in values if v is not None]
+        assert row["n"] == len(values) and row["n_null"] == len(values) - len(present)
+        if name == "none":
+            assert row["mean"] is None
+        elif name in ("endless", "mixed"):
+            assert str(row["mean"]) == ("inf" if name == "endless" else "nan")
+        else:
+            assert row["mean"] == pytest.approx(math.fsum(present) / len(present), rel=1e-14, abs=0), name
+            assert one(summaries.summarize_table(df.orderBy(F.rand(3))))["mean"] == row["mean"]
+
+
 def test_histograms_leave_out_nulls(spark):
     df = spark.createDataFrame([(0.0, 1.0), (0.9, 1.0), (-0.1, None)], "x double, y double")
     got = sorted(map(tuple, summaries.marginal_histograms(df, {"x": (0, 1), "y": (0, 1)}).collect()))
@@ -208,6 +238,17 @@ def test_batched_filter_checks(spark):
         filters.filter_edges(edges.union(edges), "s > 1").collect()
 
 
+def test_batched_filter_runs_the_sql_on_each_batch(spark, monkeypatch):
+    scores = [1, 2, 3, 4, 5, 60, 70, 80, 90, 100]
+    edges = spark.createDataFrame([(i, i, s) for i, s in enumerate(scores)], "MS1_ClusterID long, MS2_ClusterID long, s long")
+    sql = "SELECT * FROM {local_edges} WHERE s > (SELECT avg(s) FROM {local_edges})"
+    kept = sorted(r["s"] for r in filters.filter_edges_batched(edges, sql, 5).collect())
+    assert kept == [4, 5, 90, 100]
+    monkeypatch.setattr(filters, "BATCHES_PER_JOB", 1)
+    assert sorted(r["s"] for r in filters.filter_edges_batched(edges, sql, 5).collect()) == kept
+    assert filters.filter_edges_batched(edges.limit(0), sql, 5).count() == 0
+
+
 def test_filter_is_pushed_to_the_scan(spark, plan, tmp_path):
     path = f"file:{tmp_path}/t"
     spark.range(100).selectExpr("id", "id / 1000 AS q", "'P' AS protein_list", "id AS unused").write.parquet(path)

@@ -95,6 +95,16 @@ def test_stored_files_are_checked_by_place(spark):
     assert row["n_violations"] == 999 and row["first_violation_idx"]["row"] == 1
 
 
+def test_faults_between_and_in_many_files(spark, plan):
+    rows = [(f, r, 10 * f + r) for f in range(300) for r in range(5)]
+    rows = [(f, r, k - 500 if (f, r) == (40, 3) else k - 2000 if (f, r) == (200, 0) else k) for f, r, k in rows]
+    df = spark.createDataFrame(rows, "file int, row long, k long").repartition(6)
+    report = ordering.check_sorted(df, ["k"], ["file", "row"], block_rows=2)
+    assert "_at" in plan(report) and "rangepartitioning(_start" in plan(report)
+    got = report.first()
+    assert got["n_violations"] == 2 and tuple(got["first_violation_idx"]) == (40, 3)
+
+
 def test_batches(spark):
     df = ordering.with_batch_id(spark.range(10).withColumnRenamed("id", "original_idx"), 4)
     assert [r["batch_id"] for r in df.orderBy("original_idx").collect()] == [0] * 4 + [1] * 4 + [2] * 2

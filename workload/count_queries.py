@@ -38,9 +38,8 @@ def edge_filter(spark, d):
 def edge_filter_batched(spark, d):
     return filters.filter_edges_batched(
         T(spark, d, "edges"),
-        """SELECT MS1_ClusterID, MS2_ClusterID, score, original_idx, batch_id FROM (
-             SELECT *, avg(cast(score AS bigint)) OVER (PARTITION BY batch_id) AS usual FROM {local_edges})
-           WHERE score > usual""",
+        """SELECT MS1_ClusterID, MS2_ClusterID, score, original_idx, batch_id FROM {local_edges}
+           WHERE score > (SELECT avg(cast(score AS bigint)) FROM {local_edges})""",
         batch_size=1000,
     )
 
@@ -219,8 +218,8 @@ def _summary_sql(table: str, columns: dict[str, str]) -> str:
     return " UNION ALL ".join(
         f"""SELECT '{c}' AS "column", count(*) AS n, count(*) FILTER ({c} IS NULL) AS n_null,
               count(DISTINCT {c}) AS n_distinct, cast(min({c}) AS double) AS min, cast(max({c}) AS double) AS max,
-              round(cast(sum({exact}) AS double) / count({c}), 6) AS mean FROM {D(table)}"""
-        for c, exact in columns.items()
+              round(cast({total}({c}) AS double) / count({c}), 6) AS mean FROM {D(table)}"""
+        for c, total in columns.items()
     )
 
 
@@ -368,8 +367,7 @@ QUERIES = {
         f"""SELECT ClusterID, count(*) AS size, cast(sum(intensity) AS double) AS intensity_sum,
               round(cast(sum(frame * intensity) AS double) / cast(sum(intensity) AS double), 9) AS frame_wmean,
               min(frame) AS frame_min, max(frame) AS frame_max,
-              round(cast(sum(cast(mz AS decimal(18, 4)) * intensity) AS double)
-                / cast(sum(intensity) AS double), 9) AS mz_wmean,
+              round(fsum(mz * intensity) / cast(sum(intensity) AS double), 9) AS mz_wmean,
               min(mz) AS mz_min, max(mz) AS mz_max
             FROM {D('peaks')} GROUP BY ClusterID""",
     ),
@@ -378,11 +376,11 @@ QUERIES = {
         _summary_sql(
             "fragments",
             {
-                "psm_id": "psm_id",
-                "fragment_mz_experimental": "cast(fragment_mz_experimental AS decimal(18, 4))",
-                "MS2_ClusterID": "MS2_ClusterID",
-                "fragment_key": "fragment_key",
-                "fragment_ordinals": "fragment_ordinals",
+                "psm_id": "sum",
+                "fragment_mz_experimental": "fsum",
+                "MS2_ClusterID": "sum",
+                "fragment_key": "sum",
+                "fragment_ordinals": "sum",
             },
         ),
     ),

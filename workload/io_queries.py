@@ -75,6 +75,18 @@ def json_documents(spark, d):
     )
 
 
+def json_files(spark, d):
+    """One JSON file per event type, read back as whole documents."""
+    counted = T(spark, d, "events").groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("n"), F.max("value").alias("highest")
+    )
+    path = new_path(spark, "documents")
+    text = F.to_json(F.struct("event_type", "n", "highest")).alias("value")
+    counted.select("event_type", text).write.partitionBy("event_type").text(path)
+    parsed = F.from_json("document", "event_type string, n bigint, highest double").alias("p")
+    return tables.read_document(spark, path).select(parsed).select("p.*")
+
+
 def csv_round_trip(spark, d):
     path = new_path(spark, "csv")
     sinks.write_csv(edge_counts(T(spark, d, "edges")), path)
@@ -178,6 +190,10 @@ QUERIES = {
              cast(sum(cast(regexp_extract(props, '"k": *([0-9]+)', 1) AS bigint)) AS bigint) AS k_sum
            FROM events GROUP BY event_type""",
     ),
+    "json_files": (
+        json_files,
+        "SELECT event_type, count(*) AS n, max(value) AS highest FROM events GROUP BY event_type",
+    ),
     "csv_round_trip": (
         csv_round_trip,
         f"""SELECT count(DISTINCT MS1_ClusterID) AS MS1_ClusterID,

@@ -30,15 +30,21 @@ def sorted_check(spark, d):
 
 
 def stored_order(spark, d):
-    """Index the edges, sort by it, store, and check the stored files."""
+    """Index the edges, sort by it, store, and check the stored files: by key they are in order, by score not."""
     from ionweave.staging import stage
 
     indexed = row_index(spark, d)
     stored = stage(indexed.repartitionByRange(8, "original_idx").sortWithinPartitions("original_idx"))
     placed = stored.select(
-        *filters.EDGE_KEY, F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")
+        *filters.EDGE_KEY, "score", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")
     )
-    return ordering.check_sorted(placed, filters.EDGE_KEY, ["file", "row"]).select("is_sorted", "n_violations")
+    reports = [
+        ordering.check_sorted(placed, keys, ["file", "row"]).select(
+            F.lit(name).alias("checked"), "is_sorted", "n_violations"
+        )
+        for name, keys in (("key", filters.EDGE_KEY), ("score", ["score"]))
+    ]
+    return filters.stacked(*reports)
 
 
 def increasing_check(spark, d):
@@ -161,7 +167,14 @@ QUERIES = {
            FROM (SELECT o_orderkey, (o_custkey, o_orderkey)
                <= lag((o_custkey, o_orderkey)) OVER (ORDER BY o_orderkey) AS bad FROM orders)""",
     ),
-    "stored_order": (stored_order, f"SELECT count(*) > 0 AS is_sorted, 0::bigint AS n_violations FROM {D('edges')}"),
+    "stored_order": (
+        stored_order,
+        " UNION ALL ".join(
+            f"""SELECT '{name}' AS checked, count(*) FILTER (bad) = 0 AS is_sorted, count(*) FILTER (bad) AS n_violations
+                FROM (SELECT {keys} <= lag({keys}) OVER (ORDER BY MS1_ClusterID, MS2_ClusterID) AS bad FROM {D('edges')})"""
+            for name, keys in (("key", "(MS1_ClusterID, MS2_ClusterID)"), ("score", "score"))
+        ),
+    ),
     "increasing_check": (
         increasing_check,
         """SELECT count(*) FILTER (bad) = 0 AS is_sorted, count(*) FILTER (bad) AS n_violations,
