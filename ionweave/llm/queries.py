@@ -49,7 +49,8 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents", "doc_id", "text")
-    return sentence_spans.without_repeated_spans(docs, stage).select("doc_id", "text", "_cut.*")
+    cut = sentence_spans.without_repeated_spans(docs, stage, shared=sentence_spans.SHARED)
+    return cut.select("doc_id", "text", "_cut.*")
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -473,6 +473,71 @@ def test_passage_within_other_texts(spark):
     assert got == {1: rows[0][1], 2: "Other words\nMore.", 3: rows[2][1]}
 
 
+def repeated_words(rows, size=50):
+    """(doc_id, first word, word behind) of the stretches whose runs of ``size`` words all occur in an earlier row."""
+    seen, found = set(), []
+    for doc, text in sorted(rows):
+        tokens = textual.lowered_words(text)
+        runs = [tuple(tokens[i : i + size]) for i in range(len(tokens) - size + 1)]
+        for i in (i for i, r in enumerate(runs) if r in seen):
+            if found and found[-1][0] == doc and found[-1][2] == i + size - 1:
+                found[-1][2] += 1
+            else:
+                found.append([doc, i, i + size])
+        seen.update(runs)
+    return found
+
+
+def left_of(text, removed):
+    """Whether each word lies outside all removed stretches."""
+    gone = [tuple(map(int, r.split(":"))) for r in removed.split(",") if r]
+    return [not any(a <= m.start() < b for a, b in gone) for m in plain.WORD.finditer(text)]
+
+
+def test_no_repeated_stretch_of_50_words_stays(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    rows = texts(docs)
+    words = [f"w{i}" for i in range(400)]  # no sentence at all, one, and other white space and case
+    rows += [(10**9, " ".join(words)), (10**9 + 1, "a b " + "\n".join(words[90:140]).upper() + " c"), (10**9 + 2, "d. " + " ".join(words[200:251]) + ". e")]
+    found = repeated_words(rows)
+    assert len(found) > 20
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = sentence_spans.without_repeated_spans(docs, stage, shared=50).collect()
+    given = dict(rows)
+    left = {r["doc_id"]: left_of(given[r["doc_id"]], r["_cut"]["removed"]) for r in out}
+    missed = [f for f in found if "1" * 50 in "".join(map(str, map(int, left[f[0]][f[1] : f[2]])))]
+    assert not missed
+    for r in out:
+        gone = [tuple(map(int, x.split(":"))) for x in r["_cut"]["removed"].split(",") if x]
+        assert len(r["text"]) == len(given[r["doc_id"]]) - sum(b - a for a, b in gone)
+    less = sentence_spans.without_repeated_spans(docs, stage).collect()
+    assert {r["doc_id"]: r["text"] for r in less} != {r["doc_id"]: r["text"] for r in out}
+
+
+def test_equal_rows_and_repeated_words(spark):
+    text, same = " ".join(f"w{i}" for i in range(120)), "ha " * 99 + "ha"
+    rows = [(1, text, "x"), (1, text, "y"), (1, text, "y"), (2, same, "z"), (3, None, "z"), (3, None, "z"), (4, "few words", "z"), (4, "few words", "z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _at string")
+    out = sentence_spans.without_repeated_spans(docs, stage, shared=50)
+    assert out.columns == [*docs.columns, "_cut"]
+    got = sorted((r["doc_id"], r["text"] or "") for r in out.collect())
+    assert got[:3] == [(1, ""), (1, ""), (1, text)] and got[4:] == [(3, ""), (3, ""), (4, "few words"), (4, "few words")]
+    assert 21 <= len(got[3][1].split()) < 50
+
+
+def test_words_of_a_window_always_share_a_span():
+    draws = random.Random(11)
+    for shared in (5, 23, 50):
+        wide, narrow, least = sentence_spans.reach(shared)
+        assert narrow >= 1 and least >= wide >= 1 and wide + 2 * narrow + least <= shared + 1
+        for _ in range(300):
+            common = [draws.choice("abcd") + draws.choice(["", "", "", "."]) + str(draws.randint(0, 9)) + draws.choice(["", "", "."]) for _ in range(shared)]
+            a, b = ([f"{side}{i}" + draws.choice(["", "."]) for i in range(draws.randint(0, 40))] for side in "xy")
+            one, two = " ".join(a + common + b), " ".join(b + common + a)
+            x, y = (sentence_spans.word_spans(t, shared)[0] for t in (one, two))
+            assert set(x.tolist()) & set(y.tolist())
+
+
 def test_sentences_make_up_the_text():
     for text in ("", "a", "a. b", "a.b c!? d\n\n e.", "\n", ". . .", "x.\n"):
         assert "".join(text[a:b] for a, b in sentence_spans.sentences(text)) == text
