@@ -33,7 +33,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     found = stage(jaccard.similar_components(docs, stage))
     first = (
         found.where("node IS NOT NULL")
-        .groupBy("component_id")
+        .groupBy("root")
         .agg(F.min(F.struct("doc_id", "key")).alias("f"))
         .select("f.key")
     )

@@ -351,9 +351,10 @@ def similar_components(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """Per document: the id, ``n_shingles``, ``component_id`` (smallest id reachable by links) and ``node``.
+    """Per document: the id, ``n_shingles``, ``component_id`` (smallest id reachable by links), ``node``, ``key`` and ``root``.
 
-    ``stage`` stores a table; the steps run at once.
+    Ids may be null or repeat, so ``component_id`` names a component but does not tell it from others; ``root``, its
+    smallest node, does.  ``stage`` stores a table; the steps run at once.
     """
     if not 0 < percent <= 100 or size < 1:
         raise ValueError("percent must be in 1..100 and size at least 1")
@@ -435,9 +436,9 @@ def _named(members: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFrame:
     """Give every document the smallest id of its component."""
     linked = nodes.select("node", "least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = linked.groupBy("root").agg(F.min("least").alias("component"))
-    of_node = linked.join(smallest, "root").select("node", "component")
+    of_node = linked.join(smallest, "root").select("node", "component", "root")
     return members.join(of_node, "node", "left").select(
         "doc_id", "n_shingles",
         F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component")).alias("component_id"),
-        "node", "key",
+        "node", "key", "root",
     )

@@ -53,3 +53,16 @@ def test_stages(spark):
         per_sequence[r["sequence_id"]] = per_sequence.get(r["sequence_id"], 0) + r["length"]
     assert max(per_sequence.values()) <= 2048
     assert sum(2048 - n for n in per_sequence.values()) < 2048
+
+
+def test_components_without_ids_of_their_own(spark):
+    """Unlike texts with null ids or the same id all stay; copies among them go."""
+    def text(name):
+        return " ".join(f"{name}{i}" for i in range(40))
+
+    rows = [(None, text("a")), (None, text("b")), (None, text("b") + " end"), (7, text("c")), (7, text("d")), (8, text("d")), (None, ""), (7, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [(r["doc_id"], r["text"]) for r in corpus_pipeline.near_duplicates(spark, docs, SF).collect()]
+    assert len(kept) == 6
+    assert {(None, text("a")), (7, text("c")), (7, text("d")), (None, ""), (7, None)} < set(kept)
+    assert sum((t or "").startswith("b0 ") for _, t in kept) == 1
