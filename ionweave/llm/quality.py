@@ -1,12 +1,18 @@
 """Quality rules with risk-controlled cutoffs.
 
 Fixed limits come first (``base_failed``).  Each rule then has a score per document, higher being worse, and per
-stratum a cutoff above which documents go.  A cutoff comes from documents labelled good: of those in the
-stratum, ``k`` of ``n`` have a score above it.  It is used only if an exact binomial test shows that the share of
-good documents above it is at most the rule's part of ``risk``: the chance of ``k`` or fewer among ``n`` at that
-share must be at most ``error`` divided by the number of tests, all rules, strata and cutoffs of the grid together
-(Bonferroni).  The lowest such cutoff is taken.  So with probability ``1 - error`` no
-stratum loses more than ``risk`` of its good documents by these rules.  A stratum with too few labels has no cutoffs.
+stratum a cutoff above which documents go.  Cutoffs come from labelled documents in two steps.
+
+1. A fifth of the good documents (by a hash of the id, the pilot) and the bad ones that pass the limits fix an order
+   of steps for the stratum.  Each step lowers one cutoff, first where the bad documents caught are most for the pilot
+   documents lost, so the documents rejected by all rules together only get more.
+2. The other good documents are tested in this order: a step is taken if an exact binomial test shows that the share
+   of good documents that all rules together reject is at most ``risk``, and the first that fails ends the order.
+   The order does not depend on these documents, so one level holds for all of it: ``error`` divided by the strata.
+
+So with probability ``1 - error`` no stratum loses more than ``risk`` of its good documents by these rules.  At
+2 and 5 percent and four strata, 217 tested documents without a loss suffice, about 272 good labels.  A stratum with
+too few labels has no cutoffs; one without bad ones takes the steps that lose the fewest pilot documents first.
 
 Defined results: a null or empty text has no words and fails the fixed limits; a null stratum is a stratum;
 labels that are null or not 1 count as not good; a document labelled twice counts once; equal rows get
@@ -31,8 +37,9 @@ _KIND = StructType([StructField(m, LongType()) for m in MEASURES])
 _SPACE = " \t\n\r\v\f"
 _CAPITAL = re.compile(r"[A-Z]")
 
-#: Percent that a rule's score can be cut at; each rule has ``risk / len(RULES)``.
+#: Percent that a rule's score can be cut at.
 GRID = (1, 2, 3, 5, 8, 12, 18, 25, 35, 50, 70)
+PILOT = 5  # one of so many good documents
 RULES = ("symbols", "dup_lines", "repeats", "capitals", "long_words", "unended")
 
 
@@ -113,34 +120,69 @@ def most_allowed(n: int, share: float, level: float) -> int:
     return low
 
 
+def steps(codes: np.ndarray, pilot: np.ndarray, bad: np.ndarray) -> list[list[int]]:
+    """Vectors of cutoffs, each with one lower than the one before; a row of ``codes`` goes if one is above its cutoff.
+
+    ``codes`` has a column per rule: how many values of the grid are below the score.  ``pilot`` and ``bad`` are numbers
+    of documents per row.  With bad documents, a step has to catch a larger share of them than it loses of the pilot.
+    """
+    cut, gone = [len(GRID)] * codes.shape[1], np.zeros(len(codes), bool)
+    all_bad, all_pilot, path = int(bad.sum()), int(pilot.sum()), []
+    while True:
+        best = None
+        for r, now in enumerate(cut):
+            for c in range(now - 1, -1 if all_bad else max(now - 2, -1), -1):
+                new = ~gone & (codes[:, r] > c)
+                caught, lost = int(bad[new].sum()), int(pilot[new].sum())
+                if all_bad and (not caught or caught * all_pilot <= lost * all_bad):
+                    continue
+                worth = (caught / (lost + 1) if all_bad else -lost, c)
+                if best is None or worth > best[0]:
+                    best = worth, r, c, new
+        if best is None:
+            return path
+        _, r, c, new = best
+        cut[r] = c
+        gone |= new
+        path.append(list(cut))
+
+
+def chosen(codes: np.ndarray, kind: np.ndarray, n: np.ndarray, risk: float, level: float) -> list[float | None]:
+    """Cutoff of each rule from rows of ``n`` labelled documents; ``kind`` is 0 if bad, 1 in the pilot, 2 if tested."""
+    tested = np.where(kind == 2, n, 0)
+    most = most_allowed(int(tested.sum()), risk, level)
+    taken = [len(GRID)] * codes.shape[1]
+    for cut in steps(codes, np.where(kind == 1, n, 0), np.where(kind == 0, n, 0)):
+        if tested[(codes > cut).any(axis=1)].sum() > most:
+            break
+        taken = cut
+    return [float(GRID[c]) if c < len(GRID) else None for c in taken]
+
+
 def cutoffs(measured: DataFrame, labels: DataFrame, m: Callable[[str], Column], risk: float, error: float) -> DataFrame:
     """``stratum``, ``rule``, ``cutoff`` from ``measured`` (doc_id, stratum and counts) and labels."""
-    good = labels.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    holdout = measured.join(good.where("quality = 1").select("doc_id"), "doc_id", "left_semi")
-    grid = F.array(*[F.lit(float(g)) for g in GRID])
+    known = labels.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("quality"))
     score = scores(m)
-    above = holdout.groupBy("stratum").agg(
-        F.count("*").alias("n"),
-        *[
-            F.sum((score[r] > float(g)).cast("long")).alias(f"{r}_{g}")
-            for r in RULES
-            for g in GRID
-        ],
-    )
-    per_rule = above.select(
-        "stratum", "n",
-        F.explode(
-            F.array(*[F.struct(F.lit(r).alias("rule"), F.array(*[F.col(f"{r}_{g}") for g in GRID]).alias("k")) for r in RULES])
-        ).alias("x"),
-    )
-    strata = above.agg(F.count("*")).first()[0]
-    level = error / max(1, strata * len(RULES) * len(GRID))
-    allowed = F.udf(lambda n: most_allowed(n, risk / len(RULES), level), "long")  # once per stratum and rule
-    chosen = per_rule.select("stratum", F.col("x.rule").alias("rule"), "x.k", allowed("n").alias("most"))
-    fits = F.filter(F.arrays_zip(F.col("k"), grid.alias("g")), lambda z: z["k"] <= F.col("most"))
-    return chosen.select("stratum", "rule", F.array_min(F.transform(fits, lambda z: z["g"])).alias("cutoff")).where(
-        "cutoff IS NOT NULL"
+    codes = [F.aggregate(F.array(*[(score[r] > float(g)).cast("int") for g in GRID]), F.lit(0), lambda a, x: a + x) for r in RULES]
+    pilot = F.pmod(F.xxhash64("doc_id"), F.lit(PILOT)) == 0
+    kind = F.when(F.col("quality") != 1, F.when(~base_failed(m), 0)).when(pilot, 1).otherwise(2)
+    rows = measured.join(known.where("quality IS NOT NULL"), "doc_id").select(
+        "stratum", kind.alias("kind"), F.array(*codes).alias("codes")
     )
+    counted = rows.where("kind IS NOT NULL").groupBy("stratum", "kind", "codes").agg(F.count("*").alias("n"))
+    per_stratum = counted.groupBy("stratum").agg(  # bounded by the grid
+        F.collect_list(F.struct("kind", "codes", "n")).alias("x"), F.max("kind").alias("good")
+    ).where("good > 0")
+    strata = per_stratum.agg(F.count("*")).first()[0]
+    level = error / max(1, strata)
+
+    def choose(x):
+        x = sorted((r["kind"], tuple(r["codes"]), r["n"]) for r in x)
+        return chosen(*(np.array(v) for v in ([r[1] for r in x], [r[0] for r in x], [r[2] for r in x])), risk, level)
+
+    cuts = per_stratum.select("stratum", F.udf(choose, "array<double>")("x").alias("cuts"))
+    named = F.array(*[F.struct(F.lit(r).alias("rule"), F.col("cuts")[i].alias("cutoff")) for i, r in enumerate(RULES)])
+    return cuts.select("stratum", F.explode(named).alias("y")).select("stratum", "y.*").where("cutoff IS NOT NULL")
 
 
 def judged(

@@ -428,6 +428,30 @@ def test_rejected_good_documents_are_few(spark):
     assert not any(kept[5000 + i] for i in range(300))
 
 
+def test_every_language_has_rules(spark):
+    """A few hundred good labels suffice: bad documents that pass the limits are caught, few good ones are lost."""
+    sf = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    rows = quality.judged(docs, labels, stage).join(labels, "doc_id").select("lang", "quality", "_quality.*").collect()
+    for lang in {r["lang"] for r in rows}:
+        good = [r for r in rows if r["lang"] == lang and r["quality"] == 1 and not r["base_failed"]]
+        bad = [r for r in rows if r["lang"] == lang and r["quality"] == 0 and not r["base_failed"]]
+        print(lang, len(good), sum(not r["kept"] for r in good), len(bad), sum(not r["kept"] for r in bad))
+        assert sum(not r["kept"] for r in good) <= 0.02 * len(good)
+        assert sum(not r["kept"] for r in bad) >= 0.9 * len(bad)
+
+
+def test_steps_end_at_the_first_that_fails():
+    codes = np.array([[0, 0], [3, 0], [0, 5], [0, 11]])
+    bad, good = (codes, np.zeros(4, int), np.array([0, 40, 9, 9])), np.array([400, 0, 0, 0])
+    many = np.concatenate((codes, codes, codes)), np.repeat([0, 1, 2], 4), np.concatenate((bad[2], good // 4, good))
+    assert quality.chosen(*many, 0.02, 0.05 / 4) == [float(quality.GRID[2]), float(quality.GRID[4])]
+    lost = np.concatenate((bad[2], good // 4, [400, 0, 20, 0]))
+    assert quality.chosen(*many[:2], lost, 0.02, 0.05 / 4) == [float(quality.GRID[2]), None]
+    few = np.concatenate((bad[2], good // 4, [216, 0, 0, 0]))
+    assert quality.chosen(*many[:2], few, 0.02, 0.05 / 4) == [None, None]
+
+
 def test_quality_of_awkward_rows(spark, awkward):
     docs = awkward.withColumnRenamed("source", "lang").withColumnRenamed("n_words", "_quality")
     labels = spark.createDataFrame([(1, 1), (1, 0), (6, None), (None, 1)], "doc_id long, quality int")
