@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ionweave.llm import (
-    jaccard, mixing, packing, pii, quality, secret_scan, sentence_spans, token_counts, token_files, vectors,
+    jaccard, lexical_search, line_dedup, mixing, packing, pii, quality, secret_scan, sentence_spans, spelling, token_counts,
+    token_files, twins, vectors,
 )
 from ionweave.llm.tokens import tokenizer_path
 from ionweave.staging import new_path, stage
@@ -69,10 +70,24 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secrets(docs, secret_scan.train(docs, labels))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    return lexical_search.search(docs, _table(spark, sf_dir, "benchmark", "item_id", "text"), stage)
+
+
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.digests(_table(spark, sf_dir, "documents", "doc_id", "text"), stage)
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(_table(spark, sf_dir, "documents", "doc_id", "text"), stage)
+
+
 QUERIES = {
-    run.__name__: (run, None)
-    for run in (
-        op1_personal_data, op2_mix, op3_multi_index, op4_jaccard_join, op5_token_files, op6_quality,
-        op7_sentence_spans, op8_packing, op9_token_counts, op10_secrets,
+    run.__name__: (run, sql)
+    for run, sql in (
+        (op1_personal_data, None), (op2_mix, None), (op3_multi_index, None), (op4_jaccard_join, None), (op5_token_files, None),
+        (op6_quality, None), (op7_sentence_spans, None), (op8_packing, None), (op9_token_counts, None), (op10_secrets, None),
+        (op11_lexical_search, twins.OP11), (op12_line_dedup, twins.OP12), (op13_spelling, twins.OP13),
     )
 }
