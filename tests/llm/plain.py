@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -127,3 +128,81 @@ def repeated_sentences(rows, run=3):
                 gone[doc] |= set(range(i, i + run))
             seen.add(key)
     return gone
+
+
+def low(text):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
+
+
+def ranked(docs, items, top=50):
+    """(item_id, rank, doc_id, score)."""
+    term = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+    counts = [(i, Counter(term.findall(low(t or "")))) for i, t in docs]
+    counts = [(i, c, sum(c.values())) for i, c in counts if c]
+    n_docs, n_terms = len(counts), sum(n for *_, n in counts)
+    df = Counter(t for _, c, _ in counts for t in c)
+    out = []
+    for item, text in items:
+        found = []
+        for i, c, n in counts:
+            m, score = 50 + (50 * n * n_docs) // n_terms, 0
+            for t in set(term.findall(low(text or ""))) & set(c):
+                w = math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1)))
+                score += w * ((1000000000 * c[t]) // (1000 * c[t] + 20 * m))
+            if score > 0:
+                found.append((-score, i is None, i or 0, i))
+        out += [(item, k + 1, i, -s) for k, (s, _, _, i) in enumerate(sorted(found, key=lambda x: x[:3])[:top])]
+    return out
+
+
+def without_lines(rows, shortest=20, least=3):
+    """(doc_id, n_lines, n_dropped, text)."""
+    keyed = [(i, [(x, low(x.strip(" \t\n\r\f\v"))) for x in (t or "").split("\n")]) for i, t in rows]
+    holders = defaultdict(list)
+    for i, lines in keyed:
+        for key in {k for _, k in lines if len(k) >= shortest}:
+            holders[key].append(i)
+    last = {k: max((i for i in ids if i is not None), default=None) for k, ids in holders.items() if len(ids) >= least}
+    out = []
+    for i, lines in keyed:
+        kept = [x for x, k in lines if k not in last or last[k] == i]
+        out.append((i, len(lines), len(lines) - len(kept), "\n".join(kept)))
+    return out
+
+
+def one_edit(word, letters):
+    """All words one edit away."""
+    out = {word[:p] + word[p + 1 :] for p in range(len(word))}
+    for p in range(len(word) + 1):
+        out |= {word[:p] + c + word[p:] for c in letters} | {word[:p] + c + word[p + 1 :] for c in letters if p < len(word)}
+    return out - {word}
+
+
+def spelling(rows):
+    """(word, form, root, n, n_near, form_n)."""
+    counts = Counter()
+    for i, t in rows:
+        for run in map(low, re.findall("[A-Za-z\u00C0-\u00FF]+", t or "")):
+            h = zlib.crc32(f"{'' if i is None else i}:{run}".encode())
+            counts[run if h % 31 else run[: h % len(run)] + run[h % len(run) + 1 :]] += 1
+    words = {w: n for w, n in counts.items() if len(w) >= 7 and n >= 2}
+    by_length = defaultdict(list)
+    for w in words:
+        by_length[len(w)].append(w)
+
+    def are_near(a, b):
+        if len(a) > len(b):
+            a, b = b, a
+        p = next((k for k in range(len(a)) if a[k] != b[k]), len(a))
+        return a != b and a[p + (len(a) == len(b)) :] == b[p + 1 :]
+
+    near = {w: [v for k in (-1, 0, 1) for v in by_length[len(w) + k] if are_near(w, v)] for w in words}
+    best = {w: min(vs, key=lambda v: (-words[v], v)) for w, vs in near.items() if vs}
+    form = {w: v for w, v in best.items() if words[v] >= 10 * words[w]}
+    out = []
+    for w, n in words.items():
+        root = w
+        while root in form:
+            root = form[root]
+        out.append((w, form.get(w), root, n, len(near[w]), words[form[w]] if w in form else None))
+    return out
