@@ -8,6 +8,7 @@ from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import functions as F
 
+from ionweave.operators import packing
 from ionweave.operators.packing import pack
 from ionweave.operators.ordering import int_div
 from ionweave.plans import jobs
@@ -32,11 +33,12 @@ def next_fit(sizes, limit):
     st.lists(st.lists(st.integers(0, 30), max_size=60), min_size=1, max_size=4),
     st.sampled_from([1, 7, 20, 33.5, 100, 5000]),
     st.sampled_from([1, 3, 8, 1000]),
+    st.sampled_from([2, 5, 64]),
 )
-def test_packing_equals_the_sequential_rule(spark, files, limit, span):
+def test_packing_equals_the_sequential_rule(spark, files, limit, span, fan):
     rows = [(f"f{i}", j, s) for i, sizes in enumerate(files) for j, s in enumerate(sizes)]
     df = spark.createDataFrame(rows, "file string, seq bigint, size bigint").repartition(4)
-    got = pack(df, "file", "seq", F.col("size"), limit, segment=int_div(F.col("seq"), span))
+    got = pack(df, "file", "seq", F.col("size"), limit, segment=int_div(F.col("seq"), span), fan=fan)
     want = sorted((f"f{i}", j, b) for i, sizes in enumerate(files) for j, b in enumerate(next_fit(sizes, limit)))
     assert sorted(map(tuple, got.collect())) == want
 
@@ -52,6 +54,42 @@ def test_packing_of_one_hot_file(spark):
         assert bins[:-1] == next_fit(sizes.tolist(), limit) and bins[-1] == 1  # bin 0 stays empty
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 30), min_size=1, max_size=12), min_size=1, max_size=9), st.sampled_from([1, 7, 20, 100, 5000]))
+def test_steps_compose(runs, limit):
+    """A tree of steps, in whatever grouping, does what its records do one by one."""
+    parts = [packing.steps_of(np.array(sizes), limit) for sizes in runs]
+    forward = parts[0]
+    for p in parts[1:]:
+        forward = forward.then(p, limit)
+    backward = parts[-1]
+    for p in reversed(parts[:-1]):
+        backward = p.then(backward, limit)
+    flat = [s for sizes in runs for s in sizes]
+    for entry in (0, 1, limit // 2, limit - 1, limit, 3 * limit):
+        current, number = entry, 0
+        for size in flat:
+            if current + size < limit:
+                current += size
+            else:
+                current, number = size, number + 1
+        assert forward.after(entry, limit) == backward.after(entry, limit) == (current, number)
+    assert len(forward.reach) <= 1 + sum(c < limit for c in np.cumsum(flat))
+
+
+def test_packing_in_many_levels(spark):
+    """One file of 3 000 segments in groups of 7: no group has more members, also with a null file."""
+    rng = np.random.default_rng(8)
+    sizes = rng.integers(0, 40, 9_000)
+    rows = [(None, i, int(s)) for i, s in enumerate(sizes)] + [("other", i, 5) for i in range(20)]
+    df = spark.createDataFrame(rows, "file string, seq bigint, size bigint").repartition(8)
+    got = pack(df, "file", "seq", F.col("size"), 300, segment=int_div(F.col("seq"), 3), fan=7).collect()
+    assert [r["bin"] for r in sorted((r for r in got if r["file"] is None), key=lambda r: r["seq"])] == next_fit(sizes.tolist(), 300)
+    assert len(got) == len(rows) and {r["bin"] for r in got if r["file"]} == {0}
+    with pytest.raises(ValueError):
+        pack(df, "file", "seq", F.col("size"), 300, fan=1)
+
+
 def spectrum(i, n=3):
     peaks = "".join(f"{100 + j}.5 {j + 1}\n" for j in range(n))
     return f"BEGIN IONS\nTITLE=s.{i}\n{peaks}END IONS\n"
