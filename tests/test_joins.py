@@ -121,6 +121,73 @@ def test_range_match_on_two_axes_with_hot_cell(spark):
     assert sorted(map(tuple, df.select("a", "b").collect())) == sorted(map(tuple, joined[["a", "b"]].values.tolist()))
 
 
+def test_long_range_adds_one_level(spark):
+    """One very long range costs every row of the other side one copy, not one per level."""
+    a = spark.range(200).selectExpr("id AS i", "id AS a_lo", "id + 1 AS a_hi").union(spark.createDataFrame([(999, 0, 10**9)], "i long, a_lo long, a_hi long"))
+    b = spark.range(200).selectExpr("id AS j", "id AS b_lo", "id + 1 AS b_hi")
+    axes = [matching.Axis(("a_lo", "a_hi"), ("b_lo", "b_hi"), 4)]
+    left, right = matching._ends(a, axes, "left", []), matching._ends(b, axes, "right", [])
+    assert matching._levels(right, axes) == [[0]] and len(matching._levels(left, axes)[0]) == 2
+    assert matching._cells(right, axes, matching._levels(left, axes), []).count() <= 2 * 2 * 200
+    got = matching.match_ranges(a, b, axes)
+    assert got.where("i = 999").count() == 200 and got.where("i <> 999").count() == 598
+
+
+@pytest.mark.parametrize("shape", ["points", "one axis", "spread"])
+def test_crowded_cell_is_split(spark, shape):
+    """A third of all rows in one cell: parts stay small, and the pairs are those of brute force."""
+    rng = np.random.default_rng(2)
+    n = 3_000
+
+    def table(p):
+        x = np.where(np.arange(n) % 3 == 0, rng.uniform(0, 1, n) if shape == "spread" else 0.5, rng.uniform(0, 3_000, n))
+        y = rng.uniform(0, 1, n) if shape != "points" else np.zeros(n)
+        w = 0.001
+        return pd.DataFrame({f"{p}": np.arange(n), f"{p}x0": x, f"{p}x1": x + w, f"{p}y0": y, f"{p}y1": y + w})
+
+    a, b = table("a"), table("b")
+    axes = [matching.Axis(("ax0", "ax1"), ("bx0", "bx1"), 1), matching.Axis(("ay0", "ay1"), ("by0", "by1"), 1)]
+    got = matching.match_ranges(spark.createDataFrame(a), spark.createDataFrame(b), axes, rows_per_task=200).select("a", "b")
+    ax, bx, ay, by = (t[c].to_numpy() for t, c in ((a, "ax0"), (b, "bx0"), (a, "ay0"), (b, "by0")))
+    near = (np.abs(ax[:, None] - bx[None, :]) <= 0.001) & (np.abs(ay[:, None] - by[None, :]) <= 0.001)
+    sure = (np.abs(np.abs(ax[:, None] - bx[None, :]) - 0.001) > 1e-9) & (np.abs(np.abs(ay[:, None] - by[None, :]) - 0.001) > 1e-9)
+    assert sure.all()
+    pairs = got.toPandas()
+    assert len(pairs) == near.sum() and near[pairs["a"], pairs["b"]].all() and not pairs.duplicated().any()
+
+
+def test_parts_of_a_crowded_cell_are_small(spark):
+    rows = spark.range(20_000).select(F.col("id").alias("i"), (F.rand(3) * F.rand(4)).alias("a_lo")).withColumn("a_hi", F.col("a_lo") + 1e-5)
+    other = spark.range(20_000).select(F.col("id").alias("j"), (F.rand(5) * F.rand(6)).alias("b_lo")).withColumn("b_hi", F.col("b_lo") + 1e-5)
+    axes = [matching.Axis(("a_lo", "a_hi"), ("b_lo", "b_hi"), 1.0)]
+    a, b = matching._ends(rows, axes, "left", []), matching._ends(other, axes, "right", [])
+    a, b = matching._cells(a, axes, [[0]], []), matching._cells(b, axes, [[0]], [])
+    bit = 2
+    while not (crowded := matching._crowded(a, b, 500)).isEmpty():
+        cuts = matching._cuts(a, b, crowded, 1)
+        assert not cuts.isEmpty() and bit < 8
+        a, b = (matching._split(s, cuts, 1, bit) for s in (a, b))
+        bit += 1
+    assert a.count() < 1.2 * 20_000  # few copies
+
+
+def test_sweep_lists_what_overlaps():
+    rng = np.random.default_rng(1)
+    for k in range(40):
+        n = int(rng.integers(1, 60))
+        cell = np.sort(rng.integers(0, 4, n))
+        _, cell = np.unique(cell, return_inverse=True)
+        lo = [rng.integers(0, 12, n).astype(float) for _ in range(2)]
+        hi = [x + rng.integers(0, 5, n) for x in lo]
+        is_left = rng.random(n) < 0.5
+        got = sorted(p for one, other in matching._Sweep(cell, lo, hi, is_left).pairs() for p in zip(one.tolist(), other.tolist()))
+        want = [
+            (i, j) for i in range(n) for j in range(n)
+            if is_left[i] and not is_left[j] and cell[i] == cell[j] and all(lo[x][i] <= hi[x][j] and lo[x][j] <= hi[x][i] for x in (0, 1))
+        ]
+        assert got == want
+
+
 def test_range_match_is_an_equi_join(spark, plan):
     a = spark.range(1000).selectExpr("id AS i", "id AS a_lo", "id + 3 AS a_hi")
     b = spark.range(1000).selectExpr("id AS j", "id AS b_lo", "id + 3 AS b_hi")
