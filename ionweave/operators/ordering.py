@@ -9,11 +9,13 @@ slices touch one row per slice, never the data.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ionweave.operators.joins import MAX_BROADCAST_ROWS, spread_join
 from ionweave.staging import stage
 
 SLICE, ROW = "_slice", "_row"
@@ -238,28 +240,91 @@ def top_ranks(
     return df.withColumn(name, F.row_number().over(w)).where(F.col(name) <= max_rank)
 
 
+_FIRST_BINS, _BINS = 4096, 256  # bins of a group, and of a bin that is looked into further
+
+
+def _wanted(start: Column, count: Column, total: Column, steps: int) -> Column:
+    """Do the ranks from ``start`` on hold one that a step needs, ``i * (total - 1) div steps`` or the next one?"""
+    gaps = total - 1
+    first = F.call_function("div", F.greatest(start - 1, F.lit(0)) * steps + F.nullif(gaps, F.lit(0)) - 1, F.nullif(gaps, F.lit(0)))
+    return (gaps == 0) | ((first <= steps) & (int_div(first * gaps, steps) < start + count))
+
+
+def _bin(value: Column, lo: Column, hi: Column, count: Column, bins: int, by_size: bool) -> Column:
+    """Place of a value in its bin: itself if the bin has few rows, else one of ``bins`` parts.  It never falls with the value.
+
+    Parts are equally wide, or with ``by_size`` so in the logarithm of the value's distance from 0, as far as doubles tell.
+    """
+    inf = F.lit(float("inf"))
+    half = F.when(hi - lo == inf, 0.5).otherwise(1.0)  # the width of a bin may be beyond the largest double
+    scale = F.greatest(F.greatest(F.abs(lo), F.abs(hi)) * 1e-290, F.lit(5e-324))
+
+    def size(x: Column) -> Column:
+        return F.signum(x) * F.log(F.abs(x) / scale + 1.0)
+
+    share = (value * half - lo * half) / F.nullif(hi * half - lo * half, F.lit(0.0))
+    if by_size:
+        share = F.coalesce((size(value) - size(lo)) / F.nullif(size(hi) - size(lo), F.lit(0.0)), share)
+    part = F.least(F.floor(share * bins), F.lit(bins - 1)).cast("double")
+    return F.when((count <= bins) | F.isnan(value) | (F.abs(value) == inf), value).otherwise(part)
+
+
+def _to_bins(rows: DataFrame, bins: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Rows with the columns of their bin; rows of no bin go."""
+    if bins.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS:
+        renamed = bins.withColumnsRenamed({k: f"_k{i}" for i, k in enumerate(on)})
+        same = F.lit(True)
+        for i, k in enumerate(on):
+            same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+        return rows.join(F.broadcast(renamed), same).drop(*[f"_k{i}" for i in range(len(on))])
+    key = F.struct(*[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in on], *[F.col(k).isNull() for k in on])
+    return spread_join(rows.withColumn("_k", key), bins.withColumn("_k", key).drop(*on), ["_k"]).drop("_k")
+
+
 def exact_quantiles(
     df: DataFrame, column: str, steps: int, by: Sequence[str] = (), value_name: str = "value"
 ) -> DataFrame:
     """Quantiles at 0, 1/steps, .., 1 with linear interpolation, null values left out.
 
-    Columns: ``by``, ``step`` (0..steps), ``probability`` and the value.  Equal values are
-    counted before the shuffle; ranks are running totals over sorted slices, so no task
-    holds a whole column.  Ranks use integer arithmetic: step ``i`` needs the rows at
-    ``i * (n - 1) div steps`` and the next one.
+    Columns: ``by``, ``step`` (0..steps), ``probability`` and the value.  Step ``i`` needs the rows at rank
+    ``i * (n - 1) div steps`` and the next one, in whole-number arithmetic.  They are found by histograms that
+    narrow: values are counted in equal bins between the least and the largest of a group, the bins that hold a wanted
+    rank are cut into bins again, from their own least to their own largest value, and so on down to single values.
+    Every second level cuts by the logarithm, so that values of very different size need few levels.  Values are never sorted, and are counted map side first; a level has at most ``2 (steps + 1)`` open bins a group.
+    NaN counts as the largest value.
     """
-    counted = (
-        df.where(F.col(column).isNotNull())
-        .groupBy(*by, F.col(column).cast("double").alias("_v"))
-        .agg(F.count(F.lit(1)).alias("_n"))
+    if not by:
+        return exact_quantiles(df.withColumn("_all", F.lit(0)), column, steps, ["_all"], value_name).drop("_all")
+    value, inf = F.col("_v"), float("inf")
+    rows = stage(df.where(F.col(column).isNotNull()).select(*by, F.col(column).cast("double").alias("_v")), "values")
+    finite = F.when(~F.isnan(value) & (F.abs(value) != inf), value)
+    groups = rows.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("_n"), F.min(finite).alias("_lo"), F.max(finite).alias("_hi")
     )
-    staged = slices(counted, [*by, "_v"])
-    inside = Window.partitionBy(SLICE, *by).orderBy(ROW)
-    ranked = _with_offsets(
-        one_task_per_slice(staged).withColumn("_local", F.sum("_n").over(inside) - F.col("_n")),
-        _piece_offsets(staged, by, F.sum("_n")),
-        by,
-    ).withColumn("_from", F.col("_before") + F.col("_local"))
+    groups = groups.where("_n > 0").withColumns({"_total": F.col("_n"), "_from": F.lit(0).cast("bigint"), "_bin": F.monotonically_increasing_id()})
+    opened = stage(groups, "bins")
+    found, on, bins = None, list(by), _FIRST_BINS
+    for level in itertools.count():
+        held = ["_bin", "_total", "_from", "_lo", "_hi", "_n"]
+        placed = _to_bins(rows, opened.select(*dict.fromkeys([*on, *held])), on)
+        part = _bin(value, F.col("_lo"), F.col("_hi"), F.col("_n"), bins, level % 2 == 1)
+        placed = placed.withColumn("_part", part)
+        counted = placed.groupBy(*by, "_bin", "_total", "_from", "_part").agg(
+            F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")
+        )
+        before = Window.partitionBy("_bin").orderBy("_lo").rowsBetween(Window.unboundedPreceding, -1)  # of a bin's parts
+        start = F.col("_from") + F.coalesce(F.sum("_n").over(before), F.lit(0))
+        chosen = counted.withColumn("_from", start).where(_wanted(F.col("_from"), F.col("_n"), F.col("_total"), steps))
+        chosen = stage(chosen.withColumn("_next", F.monotonically_increasing_id()), "bins")
+        single = chosen.where(F.col("_lo") == F.col("_hi")).select(*by, F.col("_lo").alias("_v"), "_n", "_from", "_total")
+        found = single if found is None else found.unionByName(single)
+        wide = chosen.where(F.col("_lo") < F.col("_hi"))
+        if wide.isEmpty():
+            break
+        inner = wide.select("_bin", "_part", "_next")
+        rows = stage(_to_bins(placed.select(*by, "_v", "_bin", "_part"), inner, ["_bin", "_part"]).select(*by, "_v", F.col("_next").alias("_bin")), "values")
+        opened = wide.drop("_bin").withColumnRenamed("_next", "_bin").drop(*by)
+        on, bins = ["_bin"], _BINS
     gaps = F.col("_total") - 1
     lower_rank = int_div(F.col("_i") * gaps, steps)
 
@@ -269,7 +334,7 @@ def exact_quantiles(
     per_gap = F.lit(float(steps)) / F.nullif(gaps, F.lit(0))
     first_step = F.greatest(F.lit(0), (F.ceil((F.col("_from") - 1) * per_gap) - 1).cast("int"))
     last_step = F.least(F.lit(steps), (F.ceil(end * per_gap) + 1).cast("int"))
-    candidates = ranked.where(first_step <= last_step).withColumn(
+    candidates = found.where(first_step <= last_step).withColumn(
         "_i", F.explode(F.sequence(first_step, last_step))
     ).withColumn("_i", F.col("_i").cast("bigint"))
     upper_rank = F.least(lower_rank + 1, gaps)

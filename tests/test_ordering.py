@@ -146,6 +146,51 @@ def test_quantiles_against_numpy(spark, steps):
         assert np.allclose(part.value.values, np.quantile(x, np.arange(steps + 1) / steps), rtol=0, atol=1e-12)
 
 
+def plain_quantiles(values, steps):
+    """Ranks of a sorted list, NaN last, with linear interpolation in doubles."""
+    x = sorted(values, key=lambda v: (v != v, v))
+    out = []
+    for i in range(steps + 1):
+        low = i * (len(x) - 1) // steps
+        a, b = x[low], x[min(low + 1, len(x) - 1)]
+        out.append(a + (b - a) * ((i * (len(x) - 1) % steps) / steps))
+    return out
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_quantiles_of_awkward_values(spark, monkeypatch, broadcast):
+    """Ties, outliers, denormal, infinite and missing values; small bins, so that several levels are needed."""
+    monkeypatch.setattr(ordering, "_FIRST_BINS", 64)
+    monkeypatch.setattr(ordering, "_BINS", 32)
+    if not broadcast:
+        monkeypatch.setattr(ordering, "MAX_BROADCAST_ROWS", 0)
+    rng = np.random.default_rng(6)
+    groups = {
+        "ties": [5.0] * 400 + [1.0] * 200 + [7.0],
+        "far": [10.0**k for k in range(-300, 300, 3)] + [-(10.0**k) for k in range(0, 300, 5)],
+        "widest": [-1.7e308, 1.7e308, 0.0, 1.0, 2.0] * 9,
+        "tiny": [k * 5e-324 for k in range(40)],
+        "odd": [float("nan")] * 3 + [float("inf"), float("-inf")] * 4 + rng.normal(size=300).tolist(),
+        "one": [3.0],
+        "two": [2.0, 1.0],
+        None: rng.exponential(size=500).tolist(),
+    }
+    rows = [(g, v) for g, vs in groups.items() for v in vs] + [("ties", None), ("empty", None)]
+    df = spark.createDataFrame(rows, "g string, x double").repartition(4)
+    got = {}
+    for r in ordering.exact_quantiles(df, "x", 20, by=["g"]).orderBy("step").collect():
+        got.setdefault(r["g"], []).append(r["value"])
+    assert got.keys() == groups.keys()
+    for g, values in groups.items():
+        assert np.array_equal(got[g], plain_quantiles(values, 20), equal_nan=True), g
+
+
+def test_quantiles_do_not_sort_values(spark, plan):
+    df = spark.range(5000).selectExpr("cast(id % 3 AS string) AS g", "cast(id * 7 % 4999 AS double) AS x")
+    text = plan(ordering.exact_quantiles(df, "x", 100, by=["g"]))
+    assert "rangepartitioning" not in text
+
+
 def test_quantiles_without_groups(spark):
     got = ordering.exact_quantiles(spark.range(101).selectExpr("cast(id AS double) AS x"), "x", 4)
     assert [r["value"] for r in got.orderBy("step").collect()] == [0.0, 25.0, 50.0, 75.0, 100.0]
