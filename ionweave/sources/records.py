@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ionweave.staging import stage
@@ -10,48 +15,122 @@ from ionweave.staging import stage
 RECORD_END = "END IONS"  # fixed value: text in the last line of a spectrum
 
 
-def read_records(spark: SparkSession, path: str, line_end: str = "\n") -> DataFrame:
+_PIECES = "file string, block bigint, size bigint, span bigint, ends boolean, whole boolean, cr boolean, text string"
+
+
+class _Pieces:
+    """Puts the lines of one split of a file together, batch after batch."""
+
+    def __init__(self, file: str, block: int, size: int):
+        self.file, self.block, self.size = file, block, size
+        self.open: list[str] = []  # text of the record that goes on
+        self.span = 0
+        self.whole = block == 0  # the first record of a later split may have begun in the split before
+
+    def add(self, values: pa.Array) -> pa.RecordBatch:
+        """Records that end within ``values``, which are lines as they were stored."""
+        spans = pc.add(pc.binary_length(values), 1).to_numpy(zero_copy_only=False)
+        lines = pc.replace_substring_regex(values, r"\r$", "")
+        owner = np.arange(len(lines))
+        if pc.any(pc.match_substring(lines, "\r")).as_py():  # ends a line by itself
+            parts = pc.split_pattern(lines, "\r")
+            owner = pc.list_parent_indices(parts).to_numpy()
+            lines = parts.flatten()
+        ends = np.flatnonzero(pc.match_substring(lines, RECORD_END).to_numpy(zero_copy_only=False))
+        bounds = np.concatenate(([0], ends + 1))
+        ended = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), lines.slice(0, int(bounds[-1])))
+        texts = [t + "\n" for t in pc.binary_join(ended, "\n").to_pylist()]
+        total = np.concatenate(([0], np.cumsum(spans)))
+        upto = total[owner[ends] + 1]
+        sizes = np.diff(np.concatenate(([0], upto)))
+        whole = np.ones(len(texts), bool)
+        cr = pc.ends_with(values, "\r").to_numpy(zero_copy_only=False)[owner[ends]]
+        if texts:
+            texts[0] = "".join([*self.open, texts[0]])
+            sizes[0] += self.span
+            whole[0] = self.whole
+            self.open, self.span, self.whole = [], 0, True
+        rest = lines.slice(int(bounds[-1])).to_pylist()
+        if rest:
+            self.open.append("\n".join(rest) + "\n")
+        self.span += int(total[-1] - (upto[-1] if len(upto) else 0))
+        return self._batch(texts, sizes, np.ones(len(texts), bool), whole, cr)
+
+    def close(self) -> pa.RecordBatch:
+        """What is left at the end of the split."""
+        n = int(bool(self.open))
+        return self._batch(["".join(self.open)] * n, np.array([self.span] * n), *[np.zeros(n, bool)] * 3)
+
+    def _batch(self, texts: list[str], sizes: np.ndarray, ends: np.ndarray, whole: np.ndarray, cr: np.ndarray) -> pa.RecordBatch:
+        n = len(texts)
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([self.file] * n, pa.string()), pa.array([self.block] * n, pa.int64()), pa.array([self.size] * n, pa.int64()),
+                pa.array(sizes, pa.int64()), *(pa.array(x, pa.bool_()) for x in (ends, whole, cr)), pa.array(texts, pa.string()),
+            ],
+            ["file", "block", "size", "span", "ends", "whole", "cr", "text"],
+        )
+
+
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    at = None
+    for batch in batches:
+        files, blocks = batch.column(0).dictionary_encode(), batch.column(1).to_numpy()
+        codes = files.indices.to_numpy()
+        cuts = np.flatnonzero((np.diff(blocks) != 0) | (np.diff(codes) != 0)) + 1
+        for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(batch)], strict=True):
+            if a == b:
+                continue
+            file, block = files.dictionary[int(codes[a])].as_py(), int(blocks[a])
+            if at is None or (at.file, at.block) != (file, block):
+                if at is not None:
+                    yield at.close()
+                at = _Pieces(file, block, batch.column(2)[a].as_py())
+            yield at.add(batch.column(3).slice(a, b - a))
+    if at is not None:
+        yield at.close()
+
+
+def read_records(spark: SparkSession, path: str) -> DataFrame:
     """Spectra of text files: (file, block, row, text).
 
-    ``block`` and ``row`` give the order within a file.  A file is read in splits, not as
-    a whole, and stored once with these places, which then no longer depend on how it is split.  Text behind
-    the last ``END IONS`` line of a file is dropped.  The job fails on a line that holds
-    ``END IONS`` and more; files with other line ends need ``line_end``.
+    A record is all lines up to and with one that holds ``END IONS``, alone or among other characters; lines behind the last one of
+    a file are dropped.  Lines end with a line feed, a carriage return or both, also mixed in one file, and each end is a line feed in ``text``;
+    a last line without an end stays so.
+
+    A file is read in splits.  Each task puts the lines of its splits together; only what lies across the borders of
+    splits, at most two pieces of a split, is numbered by the record ends before it and joined.  All other text stays where it was read.
+    Records are stored once: ``block`` and ``row`` give their order within a file and then no longer depend on how it is split.
     """
-    separator = RECORD_END + line_end
-    raw = spark.read.option("lineSep", separator).text(path).select(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("row"),
-        F.col("_metadata.file_size").alias("_size"),
-        "value",
+    lines = spark.read.option("lineSep", "\n").text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.col("_metadata.file_size").alias("size"), "value",
     )
-    raw = stage(raw, "records")
-    # the scan strips separators; a file is longer than its text with one per row only if
-    # its last row had none
-    spans = F.sum(F.octet_length("value") + len(separator.encode()))
-    last = F.max_by(F.col("value").contains(RECORD_END), F.struct("block", "row"))
-    tails = (
-        raw.groupBy("file")
-        .agg(
-            spans.alias("_span"),
-            F.max("_size").alias("_size"),
-            F.max(F.struct("block", "row")).alias("_at"),
-            last.alias("_ended"),
-        )
+    pieces = stage(lines.mapInArrow(_pieces, _PIECES).withColumn("row", F.monotonically_increasing_id()), "records")
+    # a scan takes the line feeds away; a file is shorter than its lines with one each only if the last had none, but a
+    # carriage return may be there in its place
+    bare = (
+        pieces.groupBy("file")
+        .agg(F.sum("span").alias("_span"), F.max("size").alias("_size"), F.max(F.struct("block", "row")).alias("_last"))
         .where(F.col("_span") > F.col("_size"))
-        .select("file", "_at.block", "_at.row", "_ended")
+        .select("file", "_last.block", "_last.row", F.lit(True).alias("_bare"))
     )
-    text = F.concat("value", F.lit(separator))
-    whole = F.when(F.col("_ended"), F.col("value").endswith(RECORD_END)).otherwise(
-        ~F.col("value").contains(RECORD_END)
-    )
-    odd = F.raise_error(F.concat(F.lit(f"a line holds {RECORD_END} and more in "), "file")).cast("string")
-    joined = raw.join(tails, ["file", "block", "row"], "left")
-    return joined.where(F.coalesce("_ended", F.lit(True))).select(
-        "file", "block", "row",
-        F.when(~whole, odd).when(F.col("_ended"), F.col("value")).otherwise(text).alias("text"),
+    place = ["file", "block", "row"]
+    text = F.when(F.col("_bare") & ~F.col("cr"), F.substring("text", F.lit(1), F.length("text") - 1)).otherwise(F.col("text")).alias("text")
+    whole = pieces.where("whole").join(bare, place, "left").select(*place, text)
+
+    crossing = pieces.where("NOT whole")
+    before = Window.partitionBy("file").orderBy("block", "row").rowsBetween(Window.unboundedPreceding, -1)  # two rows per split
+    numbered = crossing.select(*place, "ends", F.coalesce(F.sum(F.col("ends").cast("bigint")).over(before), F.lit(0)).alias("_record"))
+    ended = numbered.where("ends").select("file", "_record")
+    members = numbered.join(ended, ["file", "_record"]).select(*place, "_record")
+    joined = (
+        crossing.join(members, place).join(bare, place, "left").select(*place, "_record", text)
+        .groupBy("file", "_record")
+        .agg(F.sort_array(F.collect_list(F.struct("block", "row", "text"))).alias("_parts"))
+        .select("file", F.col("_parts")[0]["block"].alias("block"), F.col("_parts")[0]["row"].alias("row"), F.concat_ws("", "_parts.text").alias("text"))
     )
+    return whole.unionByName(joined)
 
 
 def read_fasta(spark: SparkSession, path: str) -> DataFrame:

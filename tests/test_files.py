@@ -1,3 +1,4 @@
+import io
 import json
 
 import numpy as np
@@ -95,24 +96,45 @@ def spectrum(i, n=3):
     return f"BEGIN IONS\nTITLE=s.{i}\n{peaks}END IONS\n"
 
 
-@pytest.mark.parametrize("tail", ["", "BEGIN IONS\nTITLE=cut\n1 2\n", "\n  \n"])
-@pytest.mark.parametrize("line_end", ["\n", "\r\n"])
-def test_records_and_tails(spark, tmp_path, tail, line_end):
-    body = "".join(spectrum(i, i % 5) for i in range(40))
-    (tmp_path / "a.mgf").write_bytes((body + tail).replace("\n", line_end).encode())
-    (tmp_path / "b.mgf").write_bytes((spectrum(99) + spectrum(98)[:-1]).replace("\n", line_end).encode())
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "300")
+def records_of(raw):
+    """The rule line by line, as text files are read in Python."""
+    out, lines = [], []
+    for line in io.TextIOWrapper(io.BytesIO(raw), encoding="utf-8"):
+        lines.append(line)
+        if "END IONS" in line:
+            out.append("".join(lines))
+            lines = []
+    return out
+
+
+@pytest.mark.parametrize("split", ["150", "100000"])
+def test_records_of_all_line_ends(spark, tmp_path, split):
+    """Ends with blanks and more, all kinds of line ends, mixed ends, tails, no record at all, and records across several splits."""
+    rng = np.random.default_rng(int(split))
+    bodies = {
+        "plain": "".join(spectrum(i, i % 5) for i in range(12)),
+        "blanks": "".join(spectrum(i, 2).replace("END IONS", " END IONS \t" if i % 2 else "xEND IONSx") for i in range(8)),
+        "tail": spectrum(1) + "BEGIN IONS\nTITLE=cut\n1 2\n", "blank_tail": spectrum(2) + "\n  \n",
+        "bare": spectrum(3) + spectrum(4)[:-1], "one": "END IONS", "none": "no record\n" * 30, "empty": "", "unicode": "é\n" + spectrum(5),
+    }
+    want = []
+    for name, body in bodies.items():
+        for kind, end in (("lf", "\n"), ("crlf", "\r\n"), ("cr", "\r"), ("mixed", None)):
+            ends = [end or ("\n", "\r\n", "\r")[k] for k in rng.integers(0, 3, body.count("\n") + 1)]
+            raw = "".join(x + (e if i < body.count("\n") else "") for i, (x, e) in enumerate(zip(body.split("\n"), ends))).encode()
+            (tmp_path / f"{name}.{kind}").write_bytes(raw)
+            want += [(f"{name}.{kind}", t) for t in records_of(raw)]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
     try:
-        df = read_records(spark, f"file:{tmp_path}", line_end)
+        df = read_records(spark, f"file:{tmp_path}")
         rows = df.orderBy("file", "block", "row").collect()
-        splits = df.select("block").distinct().count()
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
-    texts = [r["text"].replace("\r\n", "\n") for r in rows]
-    assert texts[:40] == [spectrum(i, i % 5) for i in range(40)]
-    # the last record of the second file has no line end, and is a record all the same
-    assert texts[40:] == [spectrum(99), spectrum(98)[:-1]]
-    assert splits > 1
+    got = [(r["file"].rpartition("/")[2], r["text"]) for r in rows]
+    assert sorted(got) == sorted(want)
+    for name in {n for n, _ in want}:
+        assert [t for n, t in got if n == name] == [t for n, t in want if n == name]
+    assert len({(r["file"], r["row"]) for r in rows}) == len(rows)
 
 
 def test_shards_read_back(spark, tmp_path):
@@ -238,15 +260,6 @@ def test_records_do_not_depend_on_later_splits(spark, tmp_path):
     assert text.count("END IONS") == 1200 == len({x for x in text.split("\n") if x.startswith("T=")})
 
 
-@pytest.mark.parametrize("end", ["END IONS\r\n", "END IONS \n"])
-def test_other_record_ends_are_refused(spark, tmp_path, end):
-    from ionweave.sources.records import read_records
-
-    (tmp_path / "a.mgf").write_bytes(("BEGIN IONS\n" + end).encode() * 3)
-    with pytest.raises(Exception, match="holds END IONS and more"):
-        read_records(spark, str(tmp_path / "a.mgf")).collect()
-
-
 def test_stored_edges_refuse_a_folder_in_use(spark, tmp_path):
     from ionweave.plans.jobs import filtered_edge_table
 

@@ -51,6 +51,19 @@ def record_scan(spark, d):
     )
 
 
+def record_line_ends(spark, d):
+    """Records with line ends of all kinds in one folder, and ends that are not alone on their line."""
+    kind = F.col("doc_id") % 3
+    end = F.when(kind == 0, "\n").when(kind == 1, "\r\n").otherwise("\r")
+    words = F.regexp_replace("text", "[\n\r]", " ")
+    head = F.concat(F.lit("BEGIN IONS"), end, F.lit("TITLE="), F.col("doc_id").cast("string"), end, words, end)
+    path = new_path(spark, "ends")
+    T(spark, d, "documents").select(F.concat(head, F.when(kind == 0, " END IONS ").otherwise("END IONS"), F.when(kind == 1, "\r").otherwise(""))).write.text(path)
+    return read_records(spark, path).select(
+        F.regexp_extract("text", r"TITLE=(\d+)", 1).cast("bigint").alias("doc_id"), F.sha2("text", 256).alias("sha256")
+    )
+
+
 def fasta_summary(spark, d):
     path = new_path(spark, "fasta")
     record = F.concat(
@@ -176,6 +189,11 @@ QUERIES = {
              + length(cast(doc_id AS varchar)) + length('END IONS') + 4 AS bigint) AS bytes,
              sha256(text) AS sha256 FROM documents""",
     ),
+    "record_line_ends": (
+        record_line_ends,
+        r"""SELECT doc_id, sha256(concat('BEGIN IONS', chr(10), 'TITLE=', doc_id, chr(10), replace(replace(text, chr(10), ' '), chr(13), ' '),
+              chr(10), CASE WHEN doc_id % 3 = 0 THEN ' END IONS ' ELSE 'END IONS' END, chr(10))) AS sha256 FROM documents""",
+    ),
     "fasta_summary": (
         fasta_summary,
         """WITH s AS (SELECT doc_id, length(regexp_replace(text, '[^a-z]', '', 'g')) AS n FROM documents)
