@@ -9,7 +9,8 @@ size; a bucket leaves at most one document with a fraction, and these residuals
 a tree, until a source has one.  It is rounded by its own probability.  So a source's words differ from
 its target by less than one document.
 
-Random numbers are hashes of ids and sizes: the same table gives the same mix, whatever the partitions.
+Random numbers are hashes of ids, sizes, texts and a number among equal rows: the same table gives the same mix, whatever the
+partitions, and rows that share an id, also a null one, spread over the buckets.
 
 Defined results: a null or empty text has size 0 and takes nothing; a null source is a source of its own,
 after all others; equal rows are separate documents; an empty table gives no rows.
@@ -21,7 +22,7 @@ from collections.abc import Callable, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ionweave.llm.textual import n_words
@@ -65,7 +66,7 @@ def targets(sources: DataFrame, stage: Stage, weights: Sequence[int], percent: i
     """
     if any(w <= 0 for w in weights) or not 0 <= percent <= 200:
         raise ValueError("weights must be positive and percent in 0..200")
-    ordered = stage(_ranked(sources))
+    ordered = stage(_ranked(sources, stage))
     weight = F.element_at(F.array(*[F.lit(int(w)) for w in weights]), (F.col("rank") % len(weights) + 1).cast("int"))
     table = stage(ordered.withColumn("weight", weight.cast("double")))
     total = table.agg(F.sum("words")).first()[0] or 0
@@ -85,20 +86,21 @@ def targets(sources: DataFrame, stage: Stage, weights: Sequence[int], percent: i
     return table.select("source", F.col("words").alias("source_size"), "docs", target.alias("target"))
 
 
-def _ranked(sources: DataFrame) -> DataFrame:
-    """Place of each source by code point, null last: a range sort, numbered by slice and place in it."""
-    from pyspark.sql import Window
+def _ranked(sources: DataFrame, stage: Stage) -> DataFrame:
+    """Place of each source by code point, null last: a range sort, numbered by slice and place in it.
 
+    The slices are stored: a range shuffle draws its bounds anew each time that it runs.
+    """
     n = int(sources.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     key = F.col("source").isNull(), F.encode(F.col("source"), "utf-8")
     keyed = sources.withColumn("_none", key[0]).withColumn("_code", key[1])
-    sliced = keyed.repartitionByRange(n, "_none", "_code").withColumn("_slice", F.spark_partition_id())
+    sliced = stage(keyed.repartitionByRange(n, "_none", "_code").withColumn("_slice", F.spark_partition_id()))
     placed = sliced.withColumn("_place", F.row_number().over(Window.partitionBy("_slice").orderBy("_none", "_code")) - 1)
     counts = sliced.groupBy("_slice").agg(F.count("*").alias("_n"))  # one row per slice
     before = counts.withColumn(
         "_before", F.coalesce(F.sum("_n").over(Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     )
-    joined = placed.join(before.select("_slice", "_before"), "_slice")
+    joined = placed.join(F.broadcast(before.select("_slice", "_before")), "_slice")
     return joined.withColumn("rank", F.col("_before") + F.col("_place")).drop("_none", "_code", "_slice", "_place", "_before")
 
 
@@ -137,21 +139,23 @@ def mixed(
         docs.select(
             F.col(f"`{id_col}`").cast("long").alias("doc_id"),
             F.col(f"`{source_col}`").cast("string").alias("source"),
-            n_words(F.col(f"`{text_col}`")).alias("size"),
+            n_words(F.col(f"`{text_col}`")).alias("size"), F.xxhash64(F.col(f"`{text_col}`")).alias("_mark"),
         )
     )
-    return round_copies(sized, stage, weights, percent, seed, bucket)
+    return round_copies(sized, stage, weights, percent, seed, bucket).drop("_mark")
 
 
 def round_copies(
     sized: DataFrame, stage: Stage, weights: Sequence[int], percent: int, seed: int = 7, bucket: int = BUCKET
 ) -> DataFrame:
-    """As ``mixed``, from a stored table of doc_id, source, size; its other columns stay."""
+    """As ``mixed``, from a stored table of doc_id, source, size; its other columns stay and should tell rows apart."""
     extra = [c for c in sized.columns if c not in ("doc_id", "source", "size")]
     sources = stage(
         targets(sized.groupBy("source").agg(F.sum("size").alias("words"), F.count("*").alias("docs")), stage, weights, percent)
     )
-    hashed = sized.withColumn("h", F.xxhash64(F.lit(seed), "doc_id", "size"))
+    same = sized.groupBy(*sized.columns).agg(F.count("*").alias("_same"))  # equal rows are told apart by a number
+    numbered = same.withColumn("_number", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_same"))))
+    hashed = numbered.withColumn("h", F.xxhash64(F.lit(seed), "doc_id", "size", *extra, "_number")).drop("_same", "_number")
     salted = hashed.withColumn("_part", F.pmod("h", F.lit(SPREAD)).cast("int"))
     copies = sources.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
     joined = salted.withColumnRenamed("source", "_s").join(
