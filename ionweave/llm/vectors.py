@@ -2,7 +2,7 @@
 
 The two halves of a vector are quantised apart, each with its own ``k`` centroids, so ``k * k`` cells come from
 ``2 * k`` centroids.  A query walks the pairs of centroids in the order of their summed distance, with a heap,
-until the cells it has met hold enough vectors.  These are ranked by exact distance in double precision.
+until the cells it has met hold enough vectors.  These, and no others, are ranked by exact distance in double precision.
 
 Centroids are fitted on at most ``sample`` vectors, taken in the order of a hash.  Every vector is
 indexed.  The driver holds the centroids and the counts of the cells, both bounded by ``k``.  Cells are
@@ -12,7 +12,8 @@ task; if very many do, the tile is copied for parts of them.  No pair of vectors
 the nearest, so copies beyond that are left out before anything is compared, without a loss.
 
 Defined results: rows whose vector is null, zero, of another length than most, or holds null or non-finite
-components take no part, nor do rows without an id; a repeated id counts once, with its smallest vector; ties
+components take no part, nor do rows without an id; rows equal in id and vector count once; other rows with the same id are
+candidates of their own, also for each other, and each is searched for by itself; ties
 go to the smaller id; with fewer candidates than ``top`` all are returned.
 """
 
@@ -61,7 +62,7 @@ def valid_vectors(table: DataFrame, id_col: str, vector_col: str) -> DataFrame:
         & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
         & F.exists(v, lambda x: x != 0)
     )
-    return fine.groupBy("vec_id").agg(F.min("vector").alias("vector"))
+    return fine.select("vec_id", "vector").distinct().withColumn("row", F.monotonically_increasing_id())
 
 
 def _usual_length(rows: DataFrame) -> int | None:
@@ -144,9 +145,9 @@ def nearest(
     is_query: Callable[[Column], Column],
     stage: Stage,
     top: int = 10,
-    visit: int = 4096,
-    share: float = 0.02,
-    per_cell: int = 16,
+    visit: int = 1024,
+    share: float = 0.35,
+    per_cell: int = 3,
     sample: int = SAMPLE,
     tile: int = TILE,
     id_col: str = "vec_id",
@@ -165,8 +166,8 @@ def nearest(
     if size is None:
         return spark.createDataFrame([], kind)
     rows = rows.where(F.size("vector") == size)
-    copies = Window.partitionBy("vector").orderBy("vec_id")
-    unique = stage(rows.withColumn("_n", F.row_number().over(copies)).where(F.col("_n") <= top + 1).drop("_n"))
+    copies = Window.partitionBy("vector").orderBy("vec_id")  # ids of equal vectors differ
+    unique = stage(rows.drop("row").withColumn("_n", F.row_number().over(copies)).where(F.col("_n") <= top + 1).drop("_n"))
     n = unique.count()
     left, right = fit(unique, n, size, sample, per_cell)
 
@@ -185,53 +186,60 @@ def nearest(
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = index.value
         for batch in batches:
-            who, tiles, part = [], [], []
-            for i, vector in enumerate(_vectors(batch.column(1), size)):
-                cells = np.array(walk(vector, own, enough))
-                split = own.parts[cells]
-                found = {(int(t), 0) for t in own.tile_of[cells[split == 1]]}
-                for cell in cells[split > 1].tolist():
-                    found |= {(int(own.tile_of[cell]), p) for p in range(int(own.parts[cell]))}
-                who += [i] * len(found)
-                tiles += [t for t, _ in sorted(found)]
-                part += [p for _, p in sorted(found)]
+            who, tiles, part, walked = [], [], [], []
+            for i, vector in enumerate(_vectors(batch.column(2), size)):
+                found: dict[tuple[int, int], list[int]] = {}
+                for cell in walk(vector, own, enough):
+                    for p in range(int(own.parts[cell])):
+                        found.setdefault((int(own.tile_of[cell]), p), []).append(cell)
+                for (t, p), cells in sorted(found.items()):
+                    who.append(i)
+                    tiles.append(t)
+                    part.append(p)
+                    walked.append(sorted(cells))
             taken = pa.array(who, pa.int64())
-            columns = [batch.column(0).take(taken), batch.column(1).take(taken), pa.array(tiles, pa.int64()), pa.array(part, pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, ["query_id", "q", "tile", "part"])
+            lists = pa.array(walked, pa.list_(pa.int64()))
+            columns = [*(c.take(taken) for c in batch.columns), pa.array(tiles, pa.int64()), pa.array(part, pa.int64()), lists]
+            yield pa.RecordBatch.from_arrays(columns, ["query", "query_id", "q", "tile", "part", "cells"])
 
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = index.value
         for batch in batches:
             cells = batch.column(2).to_numpy()
             part = batch.column(0).to_numpy() % own.parts[cells]
-            columns = [*batch.columns[:2], pa.array(own.tile_of[cells]), pa.array(part)]
-            yield pa.RecordBatch.from_arrays(columns, ["vec_id", "vector", "tile", "part"])
+            columns = [*batch.columns, pa.array(own.tile_of[cells]), pa.array(part)]
+            yield pa.RecordBatch.from_arrays(columns, ["vec_id", "vector", "cell", "tile", "part"])
 
-    queries = rows.where(is_query(F.col("vec_id"))).select("vec_id", "vector")
-    probes = stage(queries.mapInArrow(probe, "query_id long, q array<double>, tile long, part long"))
-    tiles = indexed.mapInArrow(put, "vec_id long, vector array<double>, tile long, part long")
+    queries = rows.where(is_query(F.col("vec_id"))).select("row", "vec_id", "vector")
+    asks = "query long, query_id long, q array<double>, tile long, part long, cells array<long>"
+    probes = stage(queries.mapInArrow(probe, asks))
+    tiles = indexed.mapInArrow(put, "vec_id long, vector array<double>, cell long, tile long, part long")
     copies_of = probes.groupBy("tile", "part").agg(F.ceil(F.count("*") / tile).alias("copies"))
     spread = tiles.join(copies_of, ["tile", "part"]).withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
     of = copies_of.select(F.col("tile").alias("t"), F.col("part").alias("p"), F.col("copies").alias("of"))
     asked = probes.join(of, (F.col("tile") == F.col("t")) & (F.col("part") == F.col("p")))
-    asked = asked.select("query_id", "q", F.col("t").alias("tile"), F.col("p").alias("part"), F.pmod(F.xxhash64("query_id"), "of").alias("copy"))
-    spread = spread.select("vec_id", "vector", "tile", "part", "copy")
+    asked = asked.select("query", "query_id", "q", "cells", F.col("t").alias("tile"), F.col("p").alias("part"), F.pmod(F.xxhash64("query"), "of").alias("copy"))
+    spread = spread.select("vec_id", "vector", "cell", "tile", "part", "copy")
     keys = ("tile", "part", "copy")
 
     def rank(own: pd.DataFrame, ask: pd.DataFrame) -> pd.DataFrame:
         if not len(own) or not len(ask):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        ids, vectors = own["vec_id"].to_numpy(np.int64), np.array(own["vector"].tolist(), np.float64)
-        order = ids.argsort()
-        ids, vectors = ids[order], vectors[order]
+            return pd.DataFrame({"query": [], "query_id": [], "vec_id": [], "score": []})
+        cells, ids = own["cell"].to_numpy(np.int64), own["vec_id"].to_numpy(np.int64)
+        order = np.lexsort((ids, cells))
+        cells, ids, vectors = cells[order], ids[order], np.array(own["vector"].tolist(), np.float64)[order]
         out = []
-        for query, q in zip(ask["query_id"].tolist(), ask["q"]):
-            score = np.sqrt(((vectors - np.asarray(q, np.float64)) ** 2).sum(1))
-            score[ids == query] = np.inf
-            best = score.argsort(kind="stable")[: top + 1]
-            out += [(query, int(ids[i]), float(score[i])) for i in best if ids[i] != query][:top]
-        return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
-
-    found = spread.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInPandas(rank, "query_id long, vec_id long, score double")
-    best = Window.partitionBy("query_id").orderBy("score", "vec_id")
+        for row, query, q, walked in zip(ask["query"].tolist(), ask["query_id"].tolist(), ask["q"], ask["cells"], strict=True):
+            starts, ends = (np.searchsorted(cells, np.asarray(walked), side) for side in ("left", "right"))
+            at = np.concatenate([np.arange(a, b) for a, b in zip(starts, ends, strict=True)])  # rows of the walked cells only
+            q = np.asarray(q, np.float64)
+            score = np.sqrt(((vectors[at] - q) ** 2).sum(1))
+            own_row = (ids[at] == query) & (vectors[at] == q).all(axis=1)
+            at, score = at[~own_row], score[~own_row]
+            best = np.lexsort((ids[at], score))[:top]
+            out += [(row, query, int(ids[at[i]]), float(score[i])) for i in best]
+        return pd.DataFrame(out, columns=["query", "query_id", "vec_id", "score"])
+
+    found = spread.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInPandas(rank, "query long, query_id long, vec_id long, score double")
+    best = Window.partitionBy("query").orderBy("score", "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top).select("query_id", "rank", "vec_id", "score")
