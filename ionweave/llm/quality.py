@@ -15,7 +15,7 @@ So with probability ``1 - error`` no stratum loses more than ``risk`` of its goo
 too few labels has no cutoffs; one without bad ones takes the steps that lose the fewest pilot documents first.
 
 Defined results: a null or empty text has no words and fails the fixed limits; a null stratum is a stratum;
-labels that are null or not 1 count as not good; a document labelled twice counts once; equal rows get
+null labels are left out, and of contradicting labels the lowest counts; a labelled id is one trial, with the highest scores of its rows; equal rows get
 equal results; without labels only the fixed limits apply.
 """
 
@@ -167,9 +167,11 @@ def cutoffs(measured: DataFrame, labels: DataFrame, m: Callable[[str], Column],
     pilot = F.pmod(F.xxhash64("doc_id"), F.lit(PILOT)) == 0
     kind = F.when(F.col("quality") != 1, F.when(~base_failed(m), 0)).when(pilot, 1).otherwise(2)
     rows = measured.join(known.where("quality IS NOT NULL"), "doc_id").select(
-        "stratum", kind.alias("kind"), F.array(*codes).alias("codes")
+        "doc_id", F.struct(F.array(*codes).alias("codes"), "stratum", kind.alias("kind")).alias("x")
     )
-    counted = rows.where("kind IS NOT NULL").groupBy("stratum", "kind", "codes").agg(F.count("*").alias("n"))
+    # a label is one trial, however many rows have its id; of these the one with the highest scores counts
+    trials = rows.where("x.kind IS NOT NULL").groupBy("doc_id").agg(F.max("x").alias("x")).select("x.*")
+    counted = trials.groupBy("stratum", "kind", "codes").agg(F.count("*").alias("n"))
     per_stratum = counted.groupBy("stratum").agg(  # bounded by the grid
         F.collect_list(F.struct("kind", "codes", "n")).alias("x"), F.max("kind").alias("good")
     ).where("good > 0")
