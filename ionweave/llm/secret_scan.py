@@ -17,6 +17,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -82,11 +83,30 @@ def random_counts(n: int) -> np.ndarray:
     return counts
 
 
+class Covered:
+    """Characters that lie in a span, as disjoint ranges in order."""
+
+    def __init__(self, spans: list[tuple[int, int, int]]):
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+        for a, _, b in sorted(spans):
+            if self.ends and a <= self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], b)
+            else:
+                self.starts.append(a)
+                self.ends.append(b)
+
+    def meets(self, a: int, b: int) -> bool:
+        """Is any character from a to b covered?"""
+        i = bisect_right(self.ends, a)
+        return i < len(self.starts) and self.starts[i] < b
+
+
 def ordinary_identifiers(text: str) -> list[str]:
     """Identifiers of a text, without those in a span of the fixed patterns or with many digits."""
-    taken, out = base_spans(text), []
+    taken, out = Covered(base_spans(text)), []
     for m in _IDENTIFIER.finditer(text):
-        if not any(a < m.end() and m.start() < b for a, _, b in taken):
+        if not taken.meets(*m.span()):
             if sum(c.isdigit() for c in m[0]) * 4 <= len(m[0]):
                 out.append(m[0])
     return out
@@ -153,11 +173,11 @@ def find(text: str, ratios: np.ndarray | None, odds: float) -> list[tuple[int, i
     spans = base_spans(text)
     if ratios is None:
         return spans
-    extra = []
+    extra, taken = [], Covered(spans)
     for m in _TOKEN.finditer(text):
         a, b = m.span()
         joined = (a and text[a - 1].isalnum()) or text[b : b + 1].isalnum()
-        if joined or any(x < b and a < y for x, _, y in spans):
+        if joined or taken.meets(a, b):
             continue
         if ratios[_steps(m[0])].sum() > odds:
             extra.append((a, 3, b))
