@@ -109,6 +109,17 @@ def test_secret_patterns():
         assert secret_scan.base_spans(text) == plain.secret(text), text
 
 
+def test_covered_characters():
+    draws = random.Random(3)
+    for _ in range(300):
+        spans = [(a, 0, a + draws.randint(1, 6)) for a in (draws.randint(0, 40) for _ in range(draws.randint(0, 8)))]
+        own = secret_scan.Covered(spans)
+        for _ in range(40):
+            a = draws.randint(0, 45)
+            b = a + draws.randint(1, 8)
+            assert own.meets(a, b) == any(x < b and a < y for x, _, y in spans)
+
+
 def test_markov_models_on_held_out_samples(spark, documents):
     """Random strings that were not trained on are found; identifiers of other documents are left alone."""
     labels = spark.read.parquet(f"{SF}/labels.parquet")
@@ -156,6 +167,39 @@ def test_mix_through_many_levels(documents):
     assert all(abs(taken[s] - want[s]) <= largest for s in taken)
 
 
+def test_ranks_of_many_sources(spark):
+    """More sources than a range shuffle samples: places are those of the code points, and reruns agree."""
+    n = 40_000
+    names = spark.range(n).selectExpr("IF(id = 5, NULL, concat(chr(97 + id % 26), xxhash64(id))) AS source", "id % 50 AS words", "1 AS docs")
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    try:
+        got = {r["source"]: r["rank"] for r in mixing._ranked(names, stage).collect()}
+        targets = [sorted(map(str, mixing.targets(names, stage, (3, 1, 2), 150).collect())) for _ in range(2)]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    want = sorted((x for x in got if x is not None), key=str.encode) + [None]
+    assert got == {x: i for i, x in enumerate(want)} and len(want) == n
+    assert targets[0] == targets[1]
+
+
+def test_equal_rows_spread_over_buckets(spark, monkeypatch):
+    rows = spark.range(3_000).selectExpr("CAST(NULL AS long) AS doc_id", "'same words in all of them' AS text", "'a' AS source")
+    other = spark.createDataFrame([(1, "x " * 9_000, "b")], "doc_id long, text string, source string")
+    seen = []
+
+    def counting(df, seed, level):
+        if level == 0:
+            seen.extend(r["count"] for r in df.where("source = 'a'").groupBy("bucket").count().collect())
+        return real(df, seed, level)
+
+    real = mixing._bucket_rounding
+    monkeypatch.setattr(mixing, "_bucket_rounding", counting)
+    out = mixing.mixed(rows.unionByName(other), stage, bucket=100).collect()
+    assert len(out) == 3_001 and len(seen) == 30 and max(seen) < 200
+    taken = sum(r["taken"] for r in out if r["source"] == "a")
+    assert abs(taken - next(r["target"] for r in out if r["source"] == "a")) <= 5
+
+
 def test_rounding_keeps_words_and_probabilities():
     size = np.array([5.0, 9.0, 2.0, 30.0, 11.0, 7.0, 7.0])
     share = np.full(7, 0.37)
@@ -187,6 +231,48 @@ def test_recall(spark):
     assert total == 10 * len([i for i in rows if i % 100 == 0])
 
 
+def test_recall_of_the_query(spark):
+    """As registered, about half of these vectors are visited."""
+    table = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    pairs = sorted((r["vec_id"], r["embedding"]) for r in table.collect())
+    points = np.array([v for _, v in pairs], np.float64)
+    got = queries.op3_multi_index(spark, "/root/testdata/sf0.1").collect()
+    asked = [i for i, (v, _) in enumerate(pairs) if v % 100 == 0]
+    hit = 0
+    for i in asked:
+        apart = np.sqrt(((points - points[i]) ** 2).sum(1))
+        apart[i] = np.inf
+        hit += len({pairs[k][0] for k in np.argsort(apart)[:10]} & {r["vec_id"] for r in got if r["query_id"] == pairs[i][0]})
+    assert hit >= 0.9 * 10 * len(asked)
+
+
+def test_recall_over_many_tiles(spark):
+    """A tenth of a table in clusters is visited, over tens of tiles, and no row outside the walked cells is returned."""
+    draws = np.random.default_rng(4)
+    centres = draws.normal(size=(60, 16))
+    points = centres[draws.integers(0, 60, 4_000)] + 0.3 * draws.normal(size=(4_000, 16))
+    rows = [(i, p.tolist()) for i, p in enumerate(points)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    hit = {}
+    for visit in (20, 400):
+        got = vectors.nearest(table, lambda i: i % 100 == 0, stage, visit=visit, share=0.0, tile=100).collect()
+        hit[visit] = 0
+        for query in range(0, 4_000, 100):
+            apart = np.sqrt(((points - points[query]) ** 2).sum(1))
+            apart[query] = np.inf
+            hit[visit] += len(set(np.argsort(apart)[:10].tolist()) & {r["vec_id"] for r in got if r["query_id"] == query})
+    assert hit[400] >= 0.9 * 400 and hit[20] < hit[400]
+
+
+def test_rows_that_share_an_id_are_found(spark):
+    rows = [(7, [0.0, 1.1]), (7, [5.0, 5.0]), (8, [5.0, 5.1]), (200, [5.0, 5.0]), (100, [0.0, 1.0]), (100, [5.0, 5.2]), (100, [5.0, 5.2])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = [tuple(r) for r in vectors.nearest(table, lambda i: i % 100 == 0, stage, top=2).collect()]
+    assert [r[2] for r in sorted(got) if r[0] == 200] == [7, 8]
+    first = sorted((r[2], round(r[3], 3)) for r in got if r[0] == 100 and r[1] == 1)
+    assert first == [(7, 0.1), (8, 0.1)] and len(got) == 6
+
+
 def test_neighbours_of_awkward_vectors(spark):
     draws = random.Random(8)
     rows = [(i, [draws.random() for _ in range(4)]) for i in range(300)]
@@ -452,6 +538,17 @@ def test_steps_end_at_the_first_that_fails():
     assert quality.chosen(*many[:2], few, 0.02, 0.05 / 4) == [None, None]
 
 
+def test_copies_of_labelled_rows_are_one_trial(spark):
+    """Ten rows of each labelled id show no more than one: with so few labels no rule gets a cutoff."""
+    good = [(i, " ".join(f"word{j}" for j in range(40)) + f" {i}") for i in range(60)]
+    bad = [(100 + i, " ".join(f"#{j}" for j in range(40)) + f" {i}") for i in range(20)]
+    labels = spark.createDataFrame([(i, 1) for i, _ in good] + [(i, 0) for i, _ in bad], "doc_id long, quality int")
+    for times in (1, 10):
+        docs = spark.createDataFrame([(*r, "en") for r in (good + bad) * times], "doc_id long, text string, lang string")
+        kept = quality.judged(docs, labels, stage).where("_quality.kept").count()
+        assert kept == 80 * times
+
+
 def test_quality_of_awkward_rows(spark, awkward):
     docs = awkward.withColumnRenamed("source", "lang").withColumnRenamed("n_words", "_quality")
     labels = spark.createDataFrame([(1, 1), (1, 0), (6, None), (None, 1)], "doc_id long, quality int")
