@@ -22,6 +22,11 @@ def hot_keys(df: DataFrame, on: Sequence[str], rows_per_task: int) -> list[tuple
     return [(r["k"], -(-r["count"] // rows_per_task)) for r in found]
 
 
+def small(table: DataFrame) -> DataFrame:
+    """The table, marked for a broadcast if its rows, which are counted, are few."""
+    return F.broadcast(table) if table.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS else table
+
+
 def _parts(df: DataFrame, on: Sequence[str], hot: list[tuple[int, int]], name: str) -> DataFrame:
     table = df.sparkSession.createDataFrame(hot, f"_k bigint, {name} int")  # one row in rows_per_task at most
     return (

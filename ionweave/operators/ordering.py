@@ -10,12 +10,16 @@ slices touch one row per slice, never the data.
 from __future__ import annotations
 
 import itertools
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from ionweave.operators.joins import MAX_BROADCAST_ROWS, spread_join
+from ionweave.operators.joins import MAX_BROADCAST_ROWS, small, spread_join
 from ionweave.staging import stage
 
 SLICE, ROW = "_slice", "_row"
@@ -131,6 +135,115 @@ def with_row_index(
     return joined.select(*df.columns, index, *extra)
 
 
+def _stored_files(stored: DataFrame) -> DataFrame:
+    """Per file of a stored table: ``_path`` and ``_before``, the rows of the files in front of it.
+
+    Files stand in the order of their folders, then of the numbers of their parts, then of their names.
+    Only the row counts in the footers are read.
+    """
+    counts = stored.select(F.col("_metadata.file_path").alias("_path")).groupBy("_path").agg(F.count(F.lit(1)).alias("_n"))
+    folder, part = F.regexp_replace("_path", r"[^/]*$", ""), F.regexp_extract("_path", r"part-(\d{1,18})[^/]*$", 1)
+    number = F.coalesce(F.expr("try_cast(_part AS bigint)"), F.lit(-1))
+    before = Window.orderBy(folder, number, "_path").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
+    placed = counts.withColumn("_part", part).select("_path", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    return stage(placed, "files")
+
+
+def with_stored_index(stored: DataFrame, name: str = "original_idx") -> DataFrame:
+    """Dense index 0..n-1 of a table read from files, in the order in which it is stored.
+
+    The index is the place of a row in its file plus the rows of the files before it; no row is shuffled or sorted.
+    """
+    placed = stored.select("*", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.row_index").alias("_row"))
+    indexed = placed.join(small(_stored_files(stored)), "_path")
+    return indexed.withColumn(name, F.col("_before") + F.col("_row")).select(*stored.columns, name)
+
+
+def _rises(values: list[pa.Array]) -> tuple[np.ndarray, np.ndarray]:
+    """Of each row but the first: is its key above that of the row before, and is it the same?  Null is below all, NaN above."""
+    n = len(values[0]) - 1
+    above, same = np.zeros(n, bool), np.ones(n, bool)
+
+    def flags(x: pa.Array) -> np.ndarray:
+        return pc.fill_null(x, False).to_numpy(zero_copy_only=False).astype(bool)
+
+    for column in values:
+        steps = [flags(column.is_valid())]
+        if pa.types.is_floating(column.type):
+            steps.append(flags(pc.is_nan(column)))
+        for x in [*steps, column]:
+            if isinstance(x, np.ndarray):
+                up, level = x[1:] & ~x[:-1], x[1:] == x[:-1]
+            else:
+                a, b = x.slice(0, n), x.slice(1)
+                up, level = flags(pc.greater(b, a)), flags(pc.equal(b, a)) | ~(steps[0][1:] | steps[0][:-1])
+                if len(steps) > 1:
+                    level |= steps[1][1:] & steps[1][:-1]
+            above |= same & up
+            same &= level
+    return above, same
+
+
+def check_stored_order(stored: DataFrame, keys: Sequence[str], strict: bool = True) -> DataFrame:
+    """Is a table read from files sorted by ``keys`` as it is stored?  A report like that of :func:`check_sorted`.
+
+    A task compares neighbours as it reads them and hands on one row for each stretch of a file; only these are combined.
+    """
+    ends = StructType([f for f in stored.select(*keys).schema])
+    schema = StructType(
+        [
+            StructField("_path", StringType()), StructField("_row", LongType()), StructField("_lo", ends),
+            StructField("_hi", ends), StructField("_bad", LongType()), StructField("_bad_row", LongType()),
+        ]
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_, last = None, None  # the stretch that goes on, and the row it has reached
+
+        def done() -> pa.RecordBatch:
+            rows = [pa.array([open_[k]], t) for k, t in ((0, pa.string()), (1, pa.int64()))]
+            rows += [pa.StructArray.from_arrays(list(open_[k].columns), names=list(keys)) for k in (2, 3)]
+            rows += [pa.array([open_[k]], pa.int64()) for k in (4, 5)]
+            return pa.RecordBatch.from_arrays(rows, schema.names)
+
+        for batch in batches:
+            if not len(batch):
+                continue
+            rows = batch.column(1).to_numpy()
+            codes = batch.column(0).dictionary_encode()
+            code = codes.indices.to_numpy()
+            cuts = np.flatnonzero((np.diff(code) != 0) | (np.diff(rows) != 1)) + 1
+            values = batch.select(range(2, batch.num_columns)).rename_columns(list(keys))
+            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(batch)], strict=True):
+                path, part = codes.dictionary[int(code[a])].as_py(), values.slice(a, b - a)
+                joined = list(part.columns)
+                on = open_ is not None and path == open_[0] and int(rows[a]) == last + 1
+                if on:
+                    joined = [pa.concat_arrays([x, y]) for x, y in zip(open_[3].columns, joined, strict=True)]
+                elif open_ is not None:
+                    yield done()
+                above, same = _rises(joined)
+                bad = np.flatnonzero(~(above if strict else above | same))
+                first = int(rows[a]) + int(bad[0]) + (0 if on else 1) if len(bad) else None
+                if on:
+                    open_ = [*open_[:3], part.slice(b - a - 1), open_[4] + len(bad), open_[5] if open_[5] is not None else first]
+                else:
+                    open_ = [path, int(rows[a]), part.slice(0, 1), part.slice(b - a - 1), len(bad), first]
+                last = int(rows[b - 1])
+        if open_ is not None:
+            yield done()
+
+    placed = stored.select(F.col("_metadata.file_path").alias("_path"), F.col("_metadata.row_index").alias("_row"), *keys)
+    runs = placed.mapInArrow(run, schema).join(small(_stored_files(stored)), "_path")
+    at = F.struct((F.col("_before") + F.col("_row")).alias("i"))
+    bad_at = F.when(F.col("_bad") > 0, F.struct((F.col("_before") + F.col("_bad_row")).alias("i")))
+    runs = runs.select(at.alias("_start"), "_lo", "_hi", "_bad", bad_at.alias("_bad_at"))
+    ranged = runs.repartitionByRange(_slice_count(stored), "_start").withColumn("_at", F.spark_partition_id())
+    whole = _combine_runs(_combine_runs(ranged, ["_at"], strict), [], strict)
+    n_bad = F.coalesce(F.col("_bad"), F.lit(0).cast("bigint"))
+    return whole.select((n_bad == 0).alias("is_sorted"), n_bad.alias("n_violations"), F.col("_bad_at.i").alias("first_violation_idx"))
+
+
 def with_batch_id(df: DataFrame, batch_size: int, index: str = "original_idx") -> DataFrame:
     """Number of the ``batch_size`` slice that a row index falls into."""
     if batch_size < 1:

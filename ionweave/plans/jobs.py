@@ -14,14 +14,13 @@ from ionweave.operators.filters import (
     EDGE_KEY,
     aligned_features,
     confident_targets,
-    filter_edges,
     in_order,
     typed_columns_only,
     with_extents,
 )
 from ionweave.operators.joins import attach_lookup, combine_tables, edge_features
 from ionweave.operators.matching import Axis, map_back, match_ranges
-from ionweave.operators.ordering import check_increasing, require_sorted
+from ionweave.operators.ordering import check_increasing, check_stored_order, require_sorted, with_stored_index
 from ionweave.operators.packing import pack
 from ionweave.operators.sampling import DRAWS_PER_CLASS, draw_per_class
 from ionweave.operators.summaries import cluster_stats, multiplicity, protein_group_stats, psm_stats
@@ -113,8 +112,13 @@ def tolerance_update(
 def filtered_edge_table(
     edges: DataFrame, predicate: str | Column, path: str, order_by: Sequence[str] = EDGE_KEY
 ) -> DataFrame:
-    """Filter edges, store them sorted in a new folder, and check the stored order."""
-    kept = filter_edges(edges, predicate, order_by)
+    """Filter edges by a condition on single rows, store them in a new folder, and check the stored order.
+
+    ``edges`` is read from files.  Each edge gets the index it has there; a table that is not stored in the order of
+    ``order_by``, without repeats, is refused before anything is written.
+    """
+    require_sorted(check_stored_order(edges, order_by), "edges are not stored in order")
+    kept = with_stored_index(edges).where(predicate)
     parts = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     in_index_order = kept.repartitionByRange(parts, "original_idx").sortWithinPartitions("original_idx")
     in_index_order.write.mode("errorifexists").parquet(path)

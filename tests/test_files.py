@@ -215,9 +215,16 @@ def test_report_keeps_nulls(spark, tmp_path):
 
 def test_filtered_edges_are_stored_in_order(spark, tmp_path):
     edges = spark.range(500).selectExpr("id % 50 AS MS1_ClusterID", "id AS MS2_ClusterID", "id % 3 AS s")
-    out = jobs.filtered_edge_table(edges.repartition(6), "s = 1", f"file:{tmp_path}/e")
-    ids = [r["original_idx"] for r in out.collect()]
-    assert len(ids) == len(set(ids)) == edges.where("s = 1").count()
+    in_order = edges.orderBy("MS1_ClusterID", "MS2_ClusterID").collect()
+    edges.repartitionByRange(6, "MS1_ClusterID", "MS2_ClusterID").sortWithinPartitions("MS1_ClusterID", "MS2_ClusterID").write.parquet(f"file:{tmp_path}/in")
+    out = jobs.filtered_edge_table(spark.read.parquet(f"file:{tmp_path}/in"), "s = 1", f"file:{tmp_path}/e")
+    got = sorted((r["original_idx"], r["MS1_ClusterID"], r["MS2_ClusterID"]) for r in out.collect())
+    assert got == [(i, r[0], r[1]) for i, r in enumerate(in_order) if r["s"] == 1]
+    for name, wrong in (("shuffled", edges.repartition(6)), ("twice", edges.where("MS1_ClusterID < 1").union(edges.where("MS1_ClusterID < 1")).coalesce(1))):
+        wrong.write.parquet(f"file:{tmp_path}/{name}")
+        with pytest.raises(ValueError, match="not stored in order"):
+            jobs.filtered_edge_table(spark.read.parquet(f"file:{tmp_path}/{name}"), "s = 1", f"file:{tmp_path}/{name}-out")
+        assert not (tmp_path / f"{name}-out").exists()
 
 
 def test_positions_of_stored_rows(spark, tmp_path):
@@ -264,6 +271,8 @@ def test_stored_edges_refuse_a_folder_in_use(spark, tmp_path):
     from ionweave.plans.jobs import filtered_edge_table
 
     edges = spark.createDataFrame([(i, i, 1.0) for i in range(50)], "MS1_ClusterID long, MS2_ClusterID long, score double")
+    edges.coalesce(1).write.parquet(str(tmp_path / "in"))
+    edges = spark.read.parquet(str(tmp_path / "in"))
     assert filtered_edge_table(edges, "score > 0", str(tmp_path / "e")).count() == 50
     with pytest.raises(Exception, match="(?i)exist"):
         filtered_edge_table(edges, "score > 0", str(tmp_path / "e"))

@@ -225,3 +225,44 @@ def test_configuration_keeps_its_fields(spark):
     limits = spark.createDataFrame([(-1.0, 1.0, -2.0, 2.5)], "ms1_lo double, ms1_hi double, ms2_lo double, ms2_hi double")
     got = json.loads(updated_configs(limits, config).first()["config"])
     assert got == config | {"precursor_tol": {"ppm": [-1.0, 1.0], "z": 1.5}, "fragment_tol": {"ppm": [-2.0, 2.5]}}
+
+
+def test_stored_index_follows_files(spark, tmp_path, plan):
+    """Places of rows over several files and splits, without an exchange of rows."""
+    path = f"file:{tmp_path}/t"
+    spark.range(0, 5_000, numPartitions=12).selectExpr("id", "id * 3 AS x").write.parquet(path)
+    for split in ("2000", "100000000"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+        try:
+            indexed = ordering.with_stored_index(spark.read.parquet(path), "i")
+            assert indexed.columns == ["id", "x", "i"]
+            text = plan(indexed)
+            assert "hashpartitioning" not in text and "rangepartitioning" not in text
+            assert all(r["i"] == r["id"] and r["x"] == 3 * r["id"] for r in indexed.collect())
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+@pytest.mark.parametrize("batch", [7, 10_000])
+def test_stored_order_against_plain_order(spark, tmp_path, batch):
+    rng = np.random.default_rng(batch)
+    odd = [None, float("nan"), float("inf"), -1.0, -1.0, 0.0, 2.5]
+    cases = {
+        "rising": [(i // 3, float(i % 3)) for i in range(200)],
+        "ties": [(i // 4, float(i % 4 // 2)) for i in range(200)],
+        "odd": [(None, None), (None, 1.0), (None, float("nan")), (0, None), (0, -1.0), (0, float("nan")), (1, 0.0)],
+        "mixed": [(None if k == 5 else int(k), odd[j]) for k, j in zip(rng.integers(0, 6, 300), rng.integers(0, 7, 300))],
+        "one": [(1, 1.0)], "none": [],
+    }
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
+    try:
+        for name, rows in cases.items():
+            path = f"file:{tmp_path}/{name}"
+            spark.createDataFrame(rows, "a long, b double").coalesce(1).write.option("maxRecordsPerFile", 61).parquet(path)
+            key = [(r[0] is not None, r[0] or 0, r[1] is not None, r[1] is not None and r[1] != r[1], 0.0 if r[1] is None or r[1] != r[1] else r[1]) for r in rows]
+            for strict in (True, False):
+                bad = [i for i in range(1, len(key)) if not (key[i - 1] < key[i] or (not strict and key[i - 1] == key[i]))]
+                got = ordering.check_stored_order(spark.read.parquet(path), ["a", "b"], strict).first()
+                assert tuple(got) == (not bad, len(bad), bad[0] if bad else None), (name, strict)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")

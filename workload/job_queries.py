@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ionweave.operators.filters import EDGE_KEY, in_order
 from ionweave.plans import jobs
+from ionweave.sources.sinks import write_table
 from ionweave.staging import new_path
 from workload.count_queries import stats_sql
 from workload.fixtures import duck_sql as D
@@ -64,7 +66,9 @@ def tolerance_update(spark, d):
 
 
 def stored_edges(spark, d):
-    return jobs.filtered_edge_table(T(spark, d, "edges"), "score > 40", new_path(spark, "edges"))
+    path = new_path(spark, "sorted")
+    write_table(in_order(T(spark, d, "edges"), EDGE_KEY), path)
+    return jobs.filtered_edge_table(spark.read.parquet(path), "score > 40", new_path(spark, "edges"))
 
 
 SHARD_LIMIT = 200_000

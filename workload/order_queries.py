@@ -47,6 +47,20 @@ def stored_order(spark, d):
     return filters.stacked(*reports)
 
 
+def stored_index(spark, d):
+    """Index of the given events by their place in the files, without a shuffle of rows."""
+    return ordering.with_stored_index(T(spark, d, "events").select("event_id", "user_id", "value"))
+
+
+def stored_files_order(spark, d):
+    """The given tables as they are stored: events rise by id and not by user."""
+    reports = [
+        ordering.check_stored_order(T(spark, d, "events"), keys).select(F.lit(name).alias("checked"), "is_sorted", "n_violations", "first_violation_idx")
+        for name, keys in (("id", ["event_id"]), ("user", ["user_id", "event_id"]))
+    ]
+    return filters.stacked(*reports)
+
+
 def increasing_check(spark, d):
     return ordering.check_increasing(T(spark, d, "events"), "ts", ["event_id"])
 
@@ -175,6 +189,20 @@ QUERIES = {
             for name, keys in (("key", "(MS1_ClusterID, MS2_ClusterID)"), ("score", "score"))
         ),
     ),
+    "stored_index": (
+        stored_index,
+        "SELECT event_id, user_id, value, row_number() OVER (ORDER BY event_id) - 1 AS original_idx FROM events",
+    ),
+    "stored_files_order": (
+        stored_files_order,
+        " UNION ALL ".join(
+            f"""SELECT '{name}' AS checked, count(*) FILTER (bad) = 0 AS is_sorted, count(*) FILTER (bad) AS n_violations,
+                  min(i) FILTER (bad) AS first_violation_idx
+                FROM (SELECT i, {keys} <= lag({keys}) OVER (ORDER BY i) AS bad
+                      FROM (SELECT *, row_number() OVER (ORDER BY event_id) - 1 AS i FROM events))"""
+            for name, keys in (("id", "event_id"), ("user", "(user_id, event_id)"))
+        ),
+    ),
     "increasing_check": (
         increasing_check,
         """SELECT count(*) FILTER (bad) = 0 AS is_sorted, count(*) FILTER (bad) AS n_violations,
