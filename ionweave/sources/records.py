@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,6 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ionweave.operators.joins import small
 from ionweave.staging import stage
 
 RECORD_END = "END IONS"  # fixed value: text in the last line of a spectrum
@@ -144,6 +146,59 @@ def read_fasta(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def read_file_digest_input(spark: SparkSession, path: str) -> DataFrame:
-    """Whole files as (path, content), for digests.  Spark reads files up to 2 GiB this way."""
-    return spark.read.format("binaryFile").load(path).select("path", "content")
+def _sha256(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Digest of each stretch of a file (file, block, size, line), from its lines in order."""
+    at, digest, span, first = None, None, 0, True
+
+    def done() -> pa.RecordBatch:
+        if span == at[2]:  # a file is shorter than its lines with a line feed each only if the last had none
+            digest.update(b"\n")
+        values = [[at[0]], [at[1]], [at[2]], [span], [digest.hexdigest()]]
+        kinds = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string())
+        return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(values, kinds, strict=True)], ["file", "block", "size", "span", "sha256"])
+
+    for batch in batches:
+        for file, block, size, line in zip(*(c.to_pylist() for c in batch.columns[:3]), batch.column(3), strict=True):
+            if at is None or at[:2] != (file, block):
+                if at is not None:
+                    yield done()
+                at, digest, span, first = (file, block, size), hashlib.sha256(), 0, True
+            if not first:
+                digest.update(b"\n")
+            raw = line.as_buffer()
+            digest.update(raw)
+            span, first = span + raw.size + 1, False
+    if at is not None:
+        yield done()
+
+
+def file_digests(spark: SparkSession, path: str) -> DataFrame:
+    """SHA-256 of whole files, of any content and size: (path, size, sha256).
+
+    Files are read as streams of lines, and a task keeps nothing but the state of the digest.  A file that one split holds is
+    done where it is read; the lines of the others are put in order first, by an external sort, as a digest must see
+    them one after the other.  A line, up to the next line feed byte, has to fit into 2 GiB.
+    """
+    kind = "file string, block bigint, size bigint, span bigint, sha256 string"
+    lines = spark.read.option("lineSep", "\n").text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.col("_metadata.file_size").alias("size"), F.col("value").cast("binary").alias("line"),
+    )
+    once = stage(lines.mapInArrow(_sha256, kind), "digests")
+    per_file = once.groupBy("file").agg(F.count(F.lit(1)).alias("_n"), F.max("size").alias("size"), F.max("sha256").alias("sha256"))
+    cut = per_file.where("_n > 1").select("file")
+    ordered = (
+        lines.withColumn("_row", F.monotonically_increasing_id()).join(small(cut), "file")
+        .repartition("file").sortWithinPartitions("file", "block", "_row")
+        .select("file", F.lit(0).cast("bigint").alias("block"), "size", "line")
+    )
+    again = ordered.mapInArrow(_sha256, kind).select("file", "size", "sha256") if not cut.isEmpty() else None
+    done = per_file.where("_n = 1").select("file", "size", "sha256")
+    read = done if again is None else done.unionByName(again)
+    # scans pass over empty files, so these are taken from the list of files that the driver has made for the scan
+    names = spark.createDataFrame([(f,) for f in lines.inputFiles()], "listed string")
+    listed, named = (F.regexp_replace(c, "^file:/+", "file:/") for c in ("listed", "file"))
+    empty = names.join(read.select(named.alias("_file")), listed == F.col("_file"), "left_anti").select(
+        listed.alias("file"), F.lit(0).cast("bigint").alias("size"), F.sha2(F.lit("").cast("binary"), 256).alias("sha256")
+    )
+    return read.unionByName(empty).withColumnRenamed("file", "path")

@@ -1,3 +1,4 @@
+import hashlib
 import io
 import json
 
@@ -14,7 +15,7 @@ from ionweave.operators.packing import pack
 from ionweave.operators.ordering import int_div
 from ionweave.plans import jobs
 from ionweave.sources import sinks, tables
-from ionweave.sources.records import read_fasta, read_records
+from ionweave.sources.records import file_digests, read_fasta, read_records
 
 
 def next_fit(sizes, limit):
@@ -137,6 +138,25 @@ def test_records_of_all_line_ends(spark, tmp_path, split):
     assert len({(r["file"], r["row"]) for r in rows}) == len(rows)
 
 
+@pytest.mark.parametrize("split", ["3000", "100000000"])
+def test_digests_of_files(spark, tmp_path, split):
+    """Text and raw bytes, with and without a last line feed, empty files, and files cut into several splits."""
+    rng = np.random.default_rng(9)
+    files = {
+        "a.txt": b"one\ntwo\n", "b.txt": b"one\ntwo", "c.txt": b"\n", "d.txt": b"\n\nx", "e.txt": b"", "f.bin": rng.bytes(20_000),
+        "g.bin": rng.bytes(9_000) + b"\n", "h.txt": b"no line feed at all" * 500, "i.txt": "é\r\nü\r".encode(),
+    }
+    for name, raw in files.items():
+        (tmp_path / name).write_bytes(raw)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        rows = file_digests(spark, f"file:{tmp_path}").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    got = {r["path"].rpartition("/")[2]: (r["size"], r["sha256"]) for r in rows}
+    assert len(rows) == len(files) and got == {n: (len(x), hashlib.sha256(x).hexdigest()) for n, x in files.items()}
+
+
 def test_shards_read_back(spark, tmp_path):
     source, out = tmp_path / "in", tmp_path / "out"
     source.mkdir()

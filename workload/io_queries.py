@@ -9,7 +9,7 @@ from ionweave.operators.filters import filter_edges, in_order, query_tables
 from ionweave.operators.packing import pack
 from ionweave.operators.summaries import content_digests, edge_counts, sequence_stats
 from ionweave.sources import sinks, tables
-from ionweave.sources.records import read_fasta, read_file_digest_input, read_records
+from ionweave.sources.records import file_digests, read_fasta, read_records
 from ionweave.staging import new_path
 from workload.fixtures import duck_sql as D
 from workload.fixtures import spark_table as T
@@ -156,8 +156,12 @@ def content_digest(spark, d):
 
 
 def file_digest(spark, d):
-    return content_digests(read_file_digest_input(spark, f"{d}/*.parquet"), "path", "content").select(
-        F.element_at(F.split("path", "/"), -1).alias("file"), "sha256"
+    """Write files of fifty documents each and digest the files."""
+    path = new_path(spark, "files")
+    docs = T(spark, d, "documents").select(F.floor(F.col("doc_id") / 50).alias("batch"), "doc_id", "text")
+    docs.repartition("batch").sortWithinPartitions("batch", "doc_id").select("batch", "text").write.partitionBy("batch").text(path)
+    return file_digests(spark, path).select(
+        F.regexp_extract("path", r"batch=(\d+)", 1).cast("bigint").alias("batch"), F.col("size").alias("bytes"), "sha256"
     )
 
 
@@ -238,5 +242,10 @@ QUERIES = {
         "SELECT l_orderkey AS psm_id, l_extendedprice AS fragment_mz_experimental FROM lineitem",
     ),
     "content_digest": (content_digest, "SELECT doc_id, sha256(text) AS sha256 FROM documents"),
-    "file_digest": (file_digest, None),
+    "file_digest": (
+        file_digest,
+        """SELECT doc_id // 50 AS batch, octet_length(encode(t)) AS bytes, sha256(t) AS sha256 FROM (
+             SELECT doc_id // 50 * 50 AS doc_id, concat(string_agg(text, chr(10) ORDER BY documents.doc_id), chr(10)) AS t
+             FROM documents GROUP BY 1)""",
+    ),
 }
