@@ -7,8 +7,8 @@ import sys
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_MANTISSA_BITS = 53  # of a double
-UNIT_SCALE = _MANTISSA_BITS  # the scale at which a whole number stands for itself
+MANTISSA_BITS = 53  # of a double
+UNIT_SCALE = MANTISSA_BITS  # the scale at which a whole number stands for itself
 
 
 def dyadic(mass: Column, bits: int = 13) -> Column:
@@ -36,7 +36,7 @@ def exact_parts(value: Column) -> tuple[Column, Column, Column]:
     finite = F.abs(value) <= F.lit(sys.float_info.max)  # NaN is above all numbers
     kept = F.when(finite, value)
     scale = F.coalesce((F.floor(F.log2(F.abs(kept)) / 8) * 8).cast("int"), F.lit(0))  # log2(0) is null
-    whole = _shifted(kept, F.lit(_MANTISSA_BITS) - scale).cast("bigint")
+    whole = shifted(kept, F.lit(MANTISSA_BITS) - scale).cast("bigint")
     return scale, whole, F.when(~finite, value)
 
 
@@ -47,14 +47,14 @@ def exact_total(scale: Column, whole: Column, odd: Column) -> Column:
     """
 
     def add(total: Column, part: Column) -> Column:
-        return total + _shifted(part["whole"].cast("double"), part["scale"] - F.lit(_MANTISSA_BITS))
+        return total + shifted(part["whole"].cast("double"), part["scale"] - F.lit(MANTISSA_BITS))
 
     present = F.when(whole.isNotNull(), F.struct(scale.alias("scale"), whole.alias("whole")))
     total = F.aggregate(F.sort_array(F.collect_list(present)), F.lit(0.0), add)
     return F.coalesce(F.sum(odd), F.when(F.count(whole) > 0, total))
 
 
-def _shifted(value: Column, bits: Column) -> Column:
+def shifted(value: Column, bits: Column) -> Column:
     """``value * 2 ** bits`` in two steps, as the power alone may be out of range."""
     half = F.floor(bits / 2).cast("int")
     return value * F.pow(F.lit(2.0), half) * F.pow(F.lit(2.0), bits - half)

@@ -339,7 +339,7 @@ def top_ranks(
     max_rank: int | None = None,
     name: str = "rank",
 ) -> DataFrame:
-    """Rank 1.. of each row in its group; with ``max_rank``, only rows up to that rank.
+    """Rank 1.. of each row in its group, as bigint; with ``max_rank``, only rows up to that rank.
 
     A rank filter lets Spark keep ``max_rank`` rows per group and map task before the
     shuffle, so a hot group stays small.  Without a cap, or with one above Spark's limit for
@@ -347,10 +347,10 @@ def top_ranks(
     """
     if max_rank is None or max_rank >= _GROUP_LIMIT:
         ranked = with_row_index(df, order_by, by=by, name=name)
-        ranked = ranked.withColumn(name, (F.col(name) + 1).cast("int"))
+        ranked = ranked.withColumn(name, F.col(name) + 1)
         return ranked if max_rank is None else ranked.where(F.col(name) <= max_rank)
     w = Window.partitionBy(*by).orderBy(*order_by)
-    return df.withColumn(name, F.row_number().over(w)).where(F.col(name) <= max_rank)
+    return df.withColumn(name, F.row_number().over(w).cast("bigint")).where(F.col(name) <= max_rank)
 
 
 _FIRST_BINS, _BINS = 4096, 256  # bins of a group, and of a bin that is looked into further

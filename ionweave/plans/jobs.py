@@ -23,7 +23,7 @@ from ionweave.operators.matching import Axis, map_back, match_ranges
 from ionweave.operators.ordering import check_increasing, check_stored_order, require_sorted, with_stored_index
 from ionweave.operators.packing import pack
 from ionweave.operators.sampling import DRAWS_PER_CLASS, draw_per_class
-from ionweave.operators.summaries import cluster_stats, multiplicity, protein_group_stats, psm_stats
+from ionweave.operators.summaries import cluster_stats, multiplicity, protein_group_stats, psm_stats, search_stats
 from ionweave.sources.records import read_records
 from ionweave.sources.sinks import write_shards
 from ionweave.sources.tables import PEPTIDE_SCHEMA, read_tsv
@@ -244,3 +244,30 @@ def refine_generation(
         "edge_counts": refined["counts"],
         "spectra": refinement.spectrum_lines(ms1, ms2, refined["edges"], settings.header, mz),
     }
+
+
+def second_generation(
+    first: Mapping[str, DataFrame],
+    refined: Mapping[str, DataFrame],
+    psms: DataFrame,
+    fragments: DataFrame,
+    settings: GenerationSettings,
+    fragment_id: Sequence[str],
+) -> dict[str, DataFrame]:
+    """Map the hits of the next search back, and sum them up.
+
+    The hits are held against the rough matches of the first generation and the recalibrated fragment nodes.  Returns ``edges``,
+    ``fragments`` and ``precursors`` on them, and ``stats``, in long form.
+    """
+    kept = refinement.filter_search_results(psms, fragments, **settings.confidence)
+    mapped = map_back(
+        stage(kept[0], "psms"),
+        stage(kept[1], "fragments"),
+        refined["fragment_stats"],
+        first["edges"],
+        settings.tolerance,
+        fragment_id,
+        node_mz=f"{settings.mz_axis}_wmean",
+    )
+    found = stage(mapped["edges"], "found")
+    return {**mapped, "edges": found, "stats": search_stats(mapped["precursors"], mapped["fragments"], found)}

@@ -68,6 +68,14 @@ SQL = {
           cast(hour(ts) * 3600 + minute(ts) * 60 + second(ts) AS bigint) AS frame,
           value AS mz, cast(event_id % 17 + 1 AS bigint) AS intensity
         FROM {events}""",
+    "precursor_points": """
+        SELECT l_orderkey AS ClusterID, l_linenumber AS event_id, cast(l_orderkey % 5000 * 10 + l_linenumber AS bigint) AS frame,
+          l_extendedprice AS mz, cast(l_suppkey % 17 + 1 AS bigint) AS intensity FROM {lineitem}""",
+    "fragment_points": """
+        SELECT l_partkey AS ClusterID, cast(l_partkey % 5000 * 10 + l_linenumber AS bigint) AS frame,
+          l_extendedprice AS mz, cast(l_linenumber AS bigint) AS intensity FROM {lineitem}""",
+    "hits": """
+        SELECT p.*, p.psm_id AS MS1_ClusterID, o_totalprice AS expected_mz FROM ({psm}) p JOIN {orders} ON o_orderkey = p.psm_id""",
     "windows": """
         SELECT p_partkey AS WindowGroup, p_size AS ScanNumBegin,
           cast(20 + p_partkey % 25 AS double) AS CollisionEnergy FROM {part}""",

@@ -12,7 +12,7 @@ from workload.count_queries import stats_sql
 from workload.fixtures import duck_sql as D
 from workload.fixtures import spark_table as T
 from workload.io_queries import _spectrum_files
-from workload.join_queries import HEADER
+from workload.join_queries import FRAGMENT_ID, HEADER, search_stats_sql
 from workload.order_queries import _ERRORS, GRID_SQL, _errors
 
 CONFIG = {
@@ -90,47 +90,32 @@ def spectrum_shards(spark, d):
 
 SETTINGS = jobs.GenerationSettings(
     axes={"frame": "frame", "mz": "mz"},
-    match_axes={"frame": 3600.0},
-    tolerance=5e-5,
+    match_axes={"frame": 10.0},
+    tolerance=0.05,
     header={"PEPMASS": "mz_wmean", "RTINSECONDS": "frame_wmean", "CHARGE": "charge"},
     confidence={"q_column": "q_value"},
 )
 
 
 def _first(spark, d):
-    points = T(spark, d, "peaks").withColumn("mz", F.col("mz") + 100)
-    one, two = points.where("grp = 'purchase'"), points.where("grp = 'signup'")
+    one, two = T(spark, d, "precursor_points"), T(spark, d, "fragment_points")
     extra = one.groupBy("ClusterID").agg((F.max("event_id") % 3 + 1).cast("int").alias("charge"))
-    return jobs.first_generation(one, two, extra, SETTINGS, {"day": F.col("ClusterID") % 32})
+    return jobs.first_generation(one, two, extra, SETTINGS, {"day": F.col("ClusterID") % 4})
 
 
-def _search_output(first):
-    """Stands for the external search: hits derived from the nodes and edges."""
-    psms = first["precursor_stats"].select(
-        F.col("ClusterID").alias("psm_id"),
-        F.col("ClusterID").alias("MS1_ClusterID"),
-        F.when(F.col("ClusterID") % 7 == 0, "rev_P1").otherwise("P1").alias("protein_list"),
-        (F.col("ClusterID") % 10 / 500).alias("q_value"),
-        (F.col("mz_wmean") * (F.lit(1) + (F.col("ClusterID") % 21 - 10) * F.lit(1e-6))).alias("expected_mz"),
-    )
-    nodes = first["fragment_stats"].select(F.col("ClusterID").alias("MS2_ClusterID"), "mz_wmean")
-    fragments = (
-        first["edges"].where("(MS1_ClusterID + MS2_ClusterID) % 3 = 0").join(nodes, "MS2_ClusterID").select(
-            F.col("MS1_ClusterID").alias("psm_id"),
-            F.col("MS2_ClusterID").alias("fragment_key"),
-            # the small shift keeps round values of the nodes off the ties of the rounding
-            F.round(
-                F.col("mz_wmean") * (F.lit(1) + (F.col("MS2_ClusterID") % 31 - 12) * F.lit(1e-6)) + F.lit(3e-9), 6
-            ).alias("fragment_mz_experimental"),
-        )
-    )
-    return psms, fragments
+def _both(spark, d):
+    first = _first(spark, d)
+    hits, fragments = T(spark, d, "hits"), T(spark, d, "fragments")
+    return first, jobs.refine_generation(first, hits, fragments, SETTINGS, FRAGMENT_ID)
 
 
 def _refined(spark, d):
-    first = _first(spark, d)
-    psms, fragments = _search_output(first)
-    return jobs.refine_generation(first, psms, fragments, SETTINGS, ["fragment_key", "fragment_mz_experimental"])
+    return _both(spark, d)[1]
+
+
+def _second(spark, d):
+    first, refined = _both(spark, d)
+    return jobs.second_generation(first, refined, T(spark, d, "hits"), T(spark, d, "fragments"), SETTINGS, FRAGMENT_ID)
 
 
 def generation_matches(spark, d):
@@ -157,28 +142,48 @@ def generation_errors(spark, d):
     return out.select("probability", F.round("ms1", 3).alias("ms1"), F.round("ms2", 3).alias("ms2"))
 
 
-_NODES = """(SELECT ClusterID, ClusterID % 32 AS day, min(frame) AS frame_min, max(frame) AS frame_max,
-    cast(sum(cast(mz + 100 AS decimal(18, 4)) * intensity) AS double) / cast(sum(intensity) AS double) AS mz_wmean,
+def second_pass_edges(spark, d):
+    return _second(spark, d)["edges"].select("MS1_ClusterID", "MS2_ClusterID", "n_fragments")
+
+
+def second_pass_stats(spark, d):
+    return _second(spark, d)["stats"]
+
+
+_NODES = """(SELECT ClusterID, ClusterID % 4 AS day, min(frame) AS frame_min, max(frame) AS frame_max,
+    fsum(mz * intensity) / cast(sum(intensity) AS double) AS mz_wmean,
     cast(sum(frame * intensity) AS double) / cast(sum(intensity) AS double) AS frame_wmean,
-    cast(sum(intensity) AS double) AS intensity_sum, cast(max(event_id) % 3 + 1 AS int) AS charge
-  FROM {peaks} WHERE grp = '{grp}' GROUP BY ClusterID)"""
+    cast(sum(intensity) AS double) AS intensity_sum{more} FROM {points} GROUP BY ClusterID)"""
+_CHARGE = ", cast(max(event_id) % 3 + 1 AS int) AS charge"
 _GENERATION = f"""
-    WITH n1 AS MATERIALIZED {_NODES.format(peaks=D('peaks'), grp='purchase')},
-    n2 AS MATERIALIZED {_NODES.format(peaks=D('peaks'), grp='signup')},
+    WITH n1 AS MATERIALIZED {_NODES.format(points=D('precursor_points'), more=_CHARGE)},
+    n2 AS MATERIALIZED {_NODES.format(points=D('fragment_points'), more='')},
     e AS MATERIALIZED (SELECT n1.ClusterID AS m1, n2.ClusterID AS m2, n2.mz_wmean AS mz2 FROM n1 JOIN n2
       ON n1.day = n2.day AND n1.frame_min <= n2.frame_max AND n2.frame_min <= n1.frame_max),
-    p AS (SELECT *, mz_wmean * (1 + (ClusterID % 21 - 10) * cast('1e-6' AS double)) AS expected_mz FROM n1
-      WHERE ClusterID % 7 <> 0 AND ClusterID % 10 / 500::double < 0.01),
-    f AS MATERIALIZED (SELECT m1 AS psm_id, round(mz2 * (1 + (m2 % 31 - 12) * cast('1e-6' AS double)) + cast('3e-9' AS double), 6) AS mz FROM e
-      WHERE (m1 + m2) % 3 = 0 AND m1 IN (SELECT ClusterID FROM p)),
-    x AS MATERIALIZED (SELECT e.m1, e.m2, e.mz2, f.mz FROM e JOIN f ON f.psm_id = e.m1
-      AND f.mz >= e.mz2 - e.mz2 * cast('5e-5' AS double) AND f.mz <= e.mz2 + e.mz2 * cast('5e-5' AS double)),
-    found AS (SELECT m1, m2, mz2, cast(sum(cast(mz AS decimal(18, 6))) AS double) / count(*) AS mean_mz FROM x GROUP BY ALL),
+    p AS MATERIALIZED (SELECT h.*, n1.mz_wmean FROM {D('hits')} h JOIN n1 ON n1.ClusterID = h.MS1_ClusterID
+      WHERE q_value < 0.01 AND protein_list NOT LIKE '%rev_%'),
+    f AS MATERIALIZED (SELECT p.MS1_ClusterID, g.* FROM {D('fragments')} g JOIN p ON p.psm_id = g.psm_id),
+    x AS MATERIALIZED (SELECT e.m1, e.m2, e.mz2, f.* FROM e JOIN f ON f.MS1_ClusterID = e.m1
+      AND fragment_mz_experimental >= e.mz2 - e.mz2 * 0.05::double AND fragment_mz_experimental <= e.mz2 + e.mz2 * 0.05::double),
+    found AS (SELECT m1, m2, mz2, fsum(fragment_mz_experimental) / count(*) AS mean_mz FROM x GROUP BY ALL),
     kept AS (SELECT m1, m2 FROM e WHERE (m1, m2) IN (SELECT (m1, m2) FROM found)
       OR m2 NOT IN (SELECT m2 FROM found)),
     err AS (SELECT 'ms1' AS level, (mz_wmean - expected_mz) / expected_mz * 1e6::double AS error
-        FROM p WHERE ClusterID IN (SELECT m1 FROM found)
+        FROM p WHERE psm_id IN (SELECT psm_id FROM x)
       UNION ALL SELECT 'ms2', (mz2 - mean_mz) / mean_mz * 1e6::double FROM found)"""
+_SECOND = (
+    _GENERATION
+    + ", "
+    + GRID_SQL.format(by="level", value="error", table="err", steps=2).replace("WITH ", "", 1)
+    + """,
+    y AS MATERIALIZED (SELECT e.m1, e.m2, f.* FROM (
+        SELECT m1, m2, mz2 - mz2 * m * cast('1e-6' AS double) AS mz2 FROM e, (SELECT value AS m FROM q WHERE g = 'ms2' AND step = 1)) e
+      JOIN f ON f.MS1_ClusterID = e.m1
+        AND fragment_mz_experimental >= e.mz2 - e.mz2 * 0.05::double AND fragment_mz_experimental <= e.mz2 + e.mz2 * 0.05::double),
+    again AS (SELECT m1 AS "MS1_ClusterID", m2 AS "MS2_ClusterID", count(*) AS n_fragments FROM y GROUP BY ALL),
+    hit AS (SELECT * FROM p WHERE psm_id IN (SELECT psm_id FROM y)),
+    piece AS (SELECT DISTINCT * EXCLUDE (m1, m2) FROM y)"""
+)
 
 
 def _fixed(x: str) -> str:
@@ -280,6 +285,8 @@ QUERIES = {
         + """ SELECT (SELECT count(*) FROM e) AS total, (SELECT count(*) FROM found) AS positive,
                 (SELECT count(*) FROM kept) AS kept""",
     ),
+    "second_pass_edges": (second_pass_edges, _SECOND + " SELECT * FROM again"),
+    "second_pass_stats": (second_pass_stats, _SECOND + " " + search_stats_sql("(SELECT * FROM hit)", "(SELECT * FROM piece)", "(SELECT * FROM again)")),
     "generation_errors": (
         generation_errors,
         _GENERATION

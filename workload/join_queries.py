@@ -104,8 +104,7 @@ def _mapped(spark, d):
 
 
 def mapped_edges(spark, d):
-    edges = _mapped(spark, d)["edges"]
-    return edges.withColumn("fragment_mz_mean", F.round("fragment_mz_mean", 4))
+    return _mapped(spark, d)["edges"]
 
 
 def mapped_fragments(spark, d):
@@ -170,7 +169,7 @@ _PAIRS = f"""(SELECT e.MS1_ClusterID, e.MS2_ClusterID, f.psm_id, f.fragment_mz_e
       AND f.fragment_mz_experimental >= n.mz_wmean - n.mz_wmean * 0.02::double
       AND f.fragment_mz_experimental <= n.mz_wmean + n.mz_wmean * 0.02::double)"""
 _MAPPED_EDGES = f"""(SELECT MS1_ClusterID, MS2_ClusterID, count(*) AS n_fragments,
-      cast(sum(cast(mz AS decimal(18, 6))) AS double) / count(*) AS mean_mz FROM {_PAIRS} GROUP BY ALL)"""
+      fsum(mz) / count(*) AS mean_mz FROM {_PAIRS} GROUP BY ALL)"""
 _MAPPED_FRAGMENTS = f"""(SELECT * FROM {_OWNED} o WHERE EXISTS (SELECT 1 FROM {_PAIRS} p
       WHERE p.psm_id = o.psm_id AND p.f2 = o.MS2_ClusterID AND p.fragment_key = o.fragment_key
         AND p.fragment_ordinals = o.fragment_ordinals AND p.mz = o.fragment_mz_experimental))"""
@@ -202,27 +201,27 @@ _LINES = f"""(
     SELECT ClusterID, 2, NULL, NULL, NULL, 'END IONS' FROM a)"""
 
 
-def _search_stats_sql() -> str:
+def search_stats_sql(psms: str, fragments: str, edges: str) -> str:
     from workload.count_queries import stats_sql
 
     names = [
         "proteins_in_protein_groups", "protein_groups", "peptide_sequences_stripped_of_mods",
         "peptides_with_mods", "charged_peptides_with_mods", "phosphopeptides", "MS1_ClusterID",
     ]
-    wide = stats_sql(_MAPPED_PSMS)
+    wide = stats_sql(psms)
     parts = [f"""SELECT '{n}' AS metric, "{n}" AS n FROM ({wide})""" for n in names]
     for t in "yb":
         parts.append(
             f"""SELECT 'unique_{t}_fragments', count(*) FROM (SELECT DISTINCT MS1_ClusterID, fragment_ordinals
-                FROM {_MAPPED_FRAGMENTS} WHERE fragment_type = '{t}')"""
+                FROM {fragments} WHERE fragment_type = '{t}')"""
         )
-    parts.append(f"SELECT 'edges', count(*) FROM {_MAPPED_EDGES}")
+    parts.append(f"SELECT 'edges', count(*) FROM {edges}")
     parts.append(
-        f"""SELECT 'edges_with_multiply_annotated_fragments', count(*) FROM {_MAPPED_EDGES} WHERE n_fragments > 1"""
+        f"""SELECT 'edges_with_multiply_annotated_fragments', count(*) FROM {edges} WHERE n_fragments > 1"""
     )
     parts.append(
         f"""SELECT 'precursors_with_multiply_annotated_fragments', count(DISTINCT MS1_ClusterID)
-            FROM {_MAPPED_EDGES} WHERE n_fragments > 1"""
+            FROM {edges} WHERE n_fragments > 1"""
     )
     return " UNION ALL ".join(parts)
 
@@ -271,12 +270,12 @@ QUERIES = {
     ),
     "mapped_edges": (
         mapped_edges,
-        f"""SELECT MS1_ClusterID, MS2_ClusterID, n_fragments, round(mean_mz, 4) AS fragment_mz_mean
+        f"""SELECT MS1_ClusterID, MS2_ClusterID, n_fragments, mean_mz AS fragment_mz_mean
             FROM {_MAPPED_EDGES}""",
     ),
     "mapped_fragments": (mapped_fragments, f"SELECT * FROM {_MAPPED_FRAGMENTS}"),
     "mapped_precursors": (mapped_precursors, f"SELECT * FROM {_MAPPED_PSMS}"),
-    "search_stats": (search_stats, _search_stats_sql()),
+    "search_stats": (search_stats, search_stats_sql(_MAPPED_PSMS, _MAPPED_FRAGMENTS, _MAPPED_EDGES)),
     "refined_edges": (refined_edges, f"SELECT * FROM {_REFINED}"),
     "refined_counts": (
         refined_counts,

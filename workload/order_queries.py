@@ -217,14 +217,14 @@ QUERIES = {
     ),
     "capped_ranks": (
         capped_ranks,
-        f"""SELECT MS1_ClusterID, MS2_ClusterID, score, cast(rank AS int) AS rank FROM (
+        f"""SELECT MS1_ClusterID, MS2_ClusterID, score, rank FROM (
               SELECT *, row_number() OVER (PARTITION BY MS2_ClusterID ORDER BY score DESC, MS1_ClusterID) AS rank
               FROM {D('edges')}) WHERE rank <= 12""",
     ),
     "full_ranks": (
         full_ranks,
-        f"""SELECT MS1_ClusterID, MS2_ClusterID, score, cast(row_number()
-              OVER (PARTITION BY MS2_ClusterID ORDER BY score DESC, MS1_ClusterID) AS int) AS rank FROM {D('edges')}""",
+        f"""SELECT MS1_ClusterID, MS2_ClusterID, score, row_number()
+              OVER (PARTITION BY MS2_ClusterID ORDER BY score DESC, MS1_ClusterID) AS rank FROM {D('edges')}""",
     ),
     "sorted_edges": (sorted_edges, f"SELECT * FROM {D('edges')} ORDER BY MS1_ClusterID, MS2_ClusterID"),
     "first_edges": (first_edges, f"SELECT * FROM {D('edges')} ORDER BY MS1_ClusterID, MS2_ClusterID LIMIT 2"),
