@@ -54,8 +54,9 @@ def refine_edges(
 ) -> dict[str, DataFrame]:
     """Edges found by the search or touching a fragment that is not yet explained.
 
-    Returns ``edges`` (the columns of ``all_edges``) and ``counts`` (one row: total,
-    positive, kept).  ``max_rank`` keeps, per MS2 cluster, the best edges by ``rank_by``.
+    Returns ``edges`` (the columns of ``all_edges``), ``counts`` (one row: total,
+    positive, kept) and ``stats``: for each node of both sides the number of its edges, of those found and of those
+    that the rule keeps.  ``max_rank`` keeps, per MS2 cluster, the best edges by ``rank_by``.
     """
     flagged = flag_edges(all_edges, filtered_edges, rows_per_task)
     counts = flagged.agg(
@@ -66,7 +67,22 @@ def refine_edges(
     kept = flagged.where("is_kept").select(*all_edges.columns)
     if max_rank is not None:
         kept = fragment_ranks(kept, rank_by, max_rank).drop("rank")
-    return {"edges": kept, "counts": counts}
+    return {"edges": kept, "counts": counts, "stats": node_degrees(flagged)}
+
+
+def node_degrees(flagged: DataFrame) -> DataFrame:
+    """(level, ClusterID, n_edges, n_found, n_kept) of the nodes of both sides, from :func:`flag_edges`.
+
+    Both sides are counted in one pass, in the map tasks first, so that a node with very many edges is one row per task.
+    """
+    sides = [
+        F.struct(F.lit(level).alias("level"), F.col(f"{level}_ClusterID").cast("bigint").alias("ClusterID"))
+        for level in ("MS1", "MS2")
+    ]
+    ends = flagged.select(F.inline(F.array(*sides)), "is_found", "is_kept")
+    return ends.groupBy("level", "ClusterID").agg(
+        F.count(F.lit(1)).alias("n_edges"), F.count_if("is_found").alias("n_found"), F.count_if("is_kept").alias("n_kept")
+    )
 
 
 def fragment_ranks(

@@ -242,6 +242,7 @@ def refine_generation(
         "error_distributions": distributions,
         "edges": refined["edges"],
         "edge_counts": refined["counts"],
+        "node_degrees": refined["stats"],
         "spectra": refinement.spectrum_lines(ms1, ms2, refined["edges"], settings.header, mz),
     }
 

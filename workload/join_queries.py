@@ -130,6 +130,11 @@ def refined_counts(spark, d):
     return refinement.refine_edges(edges, edges.where("Y = 1"))["counts"]
 
 
+def refined_degrees(spark, d):
+    edges = T(spark, d, "edges")
+    return refinement.refine_edges(edges, edges.where("Y = 1"))["stats"]
+
+
 def refined_capped(spark, d):
     edges = T(spark, d, "edges")
     return refinement.refine_edges(edges, edges.where("Y = 1"), refinement.MAX_RANK)["edges"]
@@ -282,6 +287,17 @@ QUERIES = {
         f"""SELECT count(*) AS total, count(*) FILTER (Y = 1) AS positive,
               (SELECT count(*) FROM {_REFINED}) AS kept FROM {D('edges')}""",
     ),
+    "refined_degrees": (
+        refined_degrees,
+        f"""WITH k AS (SELECT *, Y = 1 AS found, Y = 1 OR MS2_ClusterID NOT IN (SELECT MS2_ClusterID FROM {D('edges')} WHERE Y = 1) AS kept
+              FROM {D('edges')})
+            """
+        + " UNION ALL ".join(
+            f"""SELECT '{x}' AS level, {x}_ClusterID AS "ClusterID", count(*) AS n_edges, count(*) FILTER (found) AS n_found,
+              count(*) FILTER (kept) AS n_kept FROM k GROUP BY {x}_ClusterID"""
+            for x in ("MS1", "MS2")
+        ),
+    ),
     "refined_capped": (
         refined_capped,
         f"""SELECT MS1_ClusterID, MS2_ClusterID, score, Y FROM (SELECT *, row_number()
