@@ -8,16 +8,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 ROWS_PER_TASK = 20_000_000  # a key with more rows than this is spread over several tasks
+_BUCKETS = 1 << 16
 MAX_BROADCAST_ROWS = 1_000_000  # most ids sent to every executor
 
 
 def hot_keys(df: DataFrame, on: Sequence[str], rows_per_task: int) -> list[tuple[int, int]]:
     """(key hash, number of parts) of the keys with more than ``rows_per_task`` rows.
 
-    Keys are counted exactly, map side first.  At most one key in ``rows_per_task`` rows can be hot, which
-    bounds the list.  It only steers how rows are spread; no result depends on it.
+    Rows are counted by buckets of keys first, so that no more than ``_BUCKETS`` rows a task are shuffled; keys are counted
+    exactly in the buckets with more than ``rows_per_task`` rows, mostly none.  At most one key in ``rows_per_task`` rows
+    can be hot, which bounds the list.  It only steers how rows are spread; no result depends on it.
     """
-    counted = df.select(F.xxhash64(*on).alias("k")).groupBy("k").count()
+    keys = df.select(F.xxhash64(*on).alias("k"))
+    bucket = F.pmod("k", F.lit(_BUCKETS)).cast("int")
+    crowded = keys.groupBy(bucket.alias("b")).count().where(F.col("count") > rows_per_task).collect()
+    if not crowded:
+        return []
+    buckets = df.sparkSession.createDataFrame([(r["b"],) for r in crowded], "b int")  # _BUCKETS rows at most
+    counted = keys.join(F.broadcast(buckets), bucket == F.col("b"), "left_semi").groupBy("k").count()
     found = counted.where(F.col("count") > rows_per_task).collect()
     return [(r["k"], -(-r["count"] // rows_per_task)) for r in found]
 

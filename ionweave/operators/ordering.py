@@ -10,7 +10,7 @@ slices touch one row per slice, never the data.
 from __future__ import annotations
 
 import itertools
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -40,16 +40,17 @@ def _slice_count(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def one_task_per_slice(staged: DataFrame) -> DataFrame:
-    """Give each slice a task of its own; a hash of the slice number would put some together."""
-    return staged.repartitionById(_slice_count(staged), F.col(SLICE))
-
-
-def slices(df: DataFrame, keys: Sequence[str | Column], unique: Sequence[str] = ()) -> DataFrame:
+def slices(
+    df: DataFrame,
+    keys: Sequence[str | Column],
+    unique: Sequence[str] = (),
+    local: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
     """Sort by ``keys`` into range slices; adds ``_slice`` and ``_row``.
 
     ``unique`` names the columns of ``keys`` if no two rows may agree in them; the job fails if
-    some do.  Equal rows are neighbours by then, so this takes no shuffle of its own.
+    some do.  Equal rows are neighbours by then, so this takes no shuffle of its own.  ``local`` works on the sorted
+    rows of each slice before they are written; it keeps their number, order and tasks.
     """
     cols = _columns(keys)
     placed = df.repartitionByRange(_slice_count(df), *cols).sortWithinPartitions(*cols)
@@ -66,13 +67,29 @@ def slices(df: DataFrame, keys: Sequence[str | Column], unique: Sequence[str] =
     else:
         placed = placed.withColumn("_place", place)
     return (
-        stage(placed, "slices")
+        stage(local(placed) if local else placed, "slices")
         .withColumn(SLICE, F.shiftright("_place", _ROW_BITS).cast("int"))
         .withColumn(ROW, F.col("_place").bitwiseAND(F.lit((1 << _ROW_BITS) - 1)))
         .drop("_place")
     )
 
 
+def running(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Bigint columns without nulls become their running totals within each partition, in the order of its rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        carried = dict.fromkeys(names, 0)
+        for batch in batches:
+            columns = dict(zip(batch.schema.names, batch.columns, strict=True))
+            for name in names if len(batch) else ():
+                totals = np.cumsum(columns[name].to_numpy()) + carried[name]
+                carried[name] = int(totals[-1])
+                columns[name] = pa.array(totals)
+            yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+
+    return df.mapInArrow(run, df.schema)
+
+
 def _piece_offsets(staged: DataFrame, by: Sequence[str], size: Column) -> DataFrame:
     """Per (slice, group): rows of the group in earlier slices and in all slices.
 
@@ -354,6 +371,7 @@ def top_ranks(
 
 
 _FIRST_BINS, _BINS = 4096, 256  # bins of a group, and of a bin that is looked into further
+_LISTED = 65_536  # a bin with no more rows is taken apart into its values
 
 
 def _wanted(start: Column, count: Column, total: Column, steps: int) -> Column:
@@ -363,23 +381,23 @@ def _wanted(start: Column, count: Column, total: Column, steps: int) -> Column:
     return (gaps == 0) | ((first <= steps) & (int_div(first * gaps, steps) < start + count))
 
 
-def _bin(value: Column, lo: Column, hi: Column, count: Column, bins: int, by_size: bool) -> Column:
-    """Place of a value in its bin: itself if the bin has few rows, else one of ``bins`` parts.  It never falls with the value.
+def _bin(value: Column, lo: Column, hi: Column, count: Column, bins: int, unit: Column | None) -> Column:
+    """Place of a value in its bin: itself if the bin has few rows (``_LISTED``), else one of ``bins`` parts.  It never falls with the value.
 
-    Parts are equally wide, or with ``by_size`` so in the logarithm of the value's distance from 0, as far as doubles tell.
+    Parts are equally wide, or with ``unit`` so in the logarithm of the value's distance from 0, but for distances below the unit.
     """
     inf = F.lit(float("inf"))
     half = F.when(hi - lo == inf, 0.5).otherwise(1.0)  # the width of a bin may be beyond the largest double
-    scale = F.greatest(F.greatest(F.abs(lo), F.abs(hi)) * 1e-290, F.lit(5e-324))
+    least = F.greatest(F.greatest(F.abs(lo), F.abs(hi)) * 1e-290, F.lit(5e-324))  # a quotient by it is no infinity
 
     def size(x: Column) -> Column:
-        return F.signum(x) * F.log(F.abs(x) / scale + 1.0)
+        return F.signum(x) * F.log(F.abs(x) / F.greatest(unit, least) + 1.0)
 
     share = (value * half - lo * half) / F.nullif(hi * half - lo * half, F.lit(0.0))
-    if by_size:
+    if unit is not None:
         share = F.coalesce((size(value) - size(lo)) / F.nullif(size(hi) - size(lo), F.lit(0.0)), share)
     part = F.least(F.floor(share * bins), F.lit(bins - 1)).cast("double")
-    return F.when((count <= bins) | F.isnan(value) | (F.abs(value) == inf), value).otherwise(part)
+    return F.when((count <= _LISTED) | F.isnan(value) | (F.abs(value) == inf), value).otherwise(part)
 
 
 def _to_bins(rows: DataFrame, bins: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -401,9 +419,10 @@ def exact_quantiles(
 
     Columns: ``by``, ``step`` (0..steps), ``probability`` and the value.  Step ``i`` needs the rows at rank
     ``i * (n - 1) div steps`` and the next one, in whole-number arithmetic.  They are found by histograms that
-    narrow: values are counted in equal bins between the least and the largest of a group, the bins that hold a wanted
+    narrow: values are counted in bins between the least and the largest of a group, the bins that hold a wanted
     rank are cut into bins again, from their own least to their own largest value, and so on down to single values.
-    Every second level cuts by the logarithm, so that values of very different size need few levels.  Values are never sorted, and are counted map side first; a level has at most ``2 (steps + 1)`` open bins a group.
+    Every second level cuts by the logarithm, so that values of very different size need few levels; the first one does so
+    beyond the geometric mean of the group's sizes, which fits normal as well as heavy-tailed values.  Values are never sorted, and are counted map side first; a level has at most ``2 (steps + 1)`` open bins a group.
     NaN counts as the largest value.
     """
     if not by:
@@ -411,16 +430,18 @@ def exact_quantiles(
     value, inf = F.col("_v"), float("inf")
     rows = stage(df.where(F.col(column).isNotNull()).select(*by, F.col(column).cast("double").alias("_v")), "values")
     finite = F.when(~F.isnan(value) & (F.abs(value) != inf), value)
+    unit = F.exp(F.avg(F.log(F.nullif(F.abs(finite), F.lit(0.0)))))
     groups = rows.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("_n"), F.min(finite).alias("_lo"), F.max(finite).alias("_hi")
+        F.count(F.lit(1)).alias("_n"), F.min(finite).alias("_lo"), F.max(finite).alias("_hi"), F.coalesce(unit, F.lit(0.0)).alias("_unit")
     )
     groups = groups.where("_n > 0").withColumns({"_total": F.col("_n"), "_from": F.lit(0).cast("bigint"), "_bin": F.monotonically_increasing_id()})
     opened = stage(groups, "bins")
     found, on, bins = None, list(by), _FIRST_BINS
     for level in itertools.count():
-        held = ["_bin", "_total", "_from", "_lo", "_hi", "_n"]
+        held = ["_bin", "_total", "_from", "_lo", "_hi", "_n", *(["_unit"] if level == 0 else [])]
         placed = _to_bins(rows, opened.select(*dict.fromkeys([*on, *held])), on)
-        part = _bin(value, F.col("_lo"), F.col("_hi"), F.col("_n"), bins, level % 2 == 1)
+        unit = F.col("_unit") if level == 0 else None if level % 2 else F.lit(0.0)
+        part = _bin(value, F.col("_lo"), F.col("_hi"), F.col("_n"), bins, unit)
         placed = placed.withColumn("_part", part)
         counted = placed.groupBy(*by, "_bin", "_total", "_from", "_part").agg(
             F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")
