@@ -4,7 +4,8 @@ A text is cut into sentences, and every run of ``run`` consecutive sentences is
 among all documents, by document and position, stays; the sentences of every other place go.  A
 passage of several sentences that repeats is so removed from all documents but the first, wherever it stands.
 
-With ``shared`` words given, stretches without three whole sentences count as well.  A text is cut behind words that
+With ``shared`` words given, a run goes on until it holds that many words as well, so that a few short sentences that
+many texts have are left alone, and stretches without such a run count too.  A text is cut behind words that
 end a sentence, and where there is none in a window of words, at the smallest hash of two neighbouring words in it;
 so cuts are at most a window apart and agree wherever the words around them do.  Cuts by a wide window start word
 spans; each reaches to the first cut by a narrow window that is far enough, and one more ends with the text.  Windows
@@ -15,7 +16,7 @@ Only hashes travel: one row per span, added up before they are shuffled, so a pa
 one row per task.  Spans that occur once are dropped before anything is joined.
 
 Defined results: a null text stays null and an empty one empty; a document is identified by its id and text; null ids
-come first; texts with fewer sentences than ``run`` have no span of sentences.  Without ``shared``, equal rows are one
+come first; texts with fewer sentences than ``run``, or words than ``shared``, have no span of sentences.  Without ``shared``, equal rows are one
 document and are cut alike; with it, they are stored with a number and all but one lose every span.  A word span that
 overlaps the place before it of the same words in the same text is no place.
 """
@@ -58,6 +59,19 @@ def _hashes(text: str, bounds: list[tuple[int, int]]) -> np.ndarray:
     return np.fromiter((xxh3_64_intdigest(text[a:b].strip().lower()) for a, b in bounds), np.uint64, len(bounds))
 
 
+def _runs(text: str, bounds: list[tuple[int, int]], run: int, shared: int | None) -> np.ndarray:
+    """Sentence behind the run that starts with each sentence; the last ones may start none.
+
+    It depends on the sentences of the run alone, so equal sentences make equal runs in all texts.
+    """
+    least = run + np.arange(len(bounds))
+    if shared is not None:
+        counts = np.fromiter((len(_WORD.findall(text, a, b)) for a, b in bounds), np.int64, len(bounds))
+        sums = np.concatenate((np.zeros(1, np.int64), np.cumsum(counts)))
+        least = np.maximum(least, np.searchsorted(sums, sums[:-1] + shared))
+    return least[least <= len(bounds)]
+
+
 def reach(shared: int) -> tuple[int, int, int]:
     """Wide window, narrow window and least length of word spans, so that ``shared`` equal words hold one.
 
@@ -87,6 +101,14 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.cumprod(steps, dtype=np.uint64)
 
 
+def _stretches(hashes: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """Hash of each stretch of ``hashes``, by its parts and its length."""
+    n = len(hashes)
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(hashes * _powers(_BASE, n), dtype=np.uint64)))
+    found = (sums[stops] - sums[starts]) * _powers(_BACK, n)[starts]
+    return windows(np.stack([found, (stops - starts).astype(np.uint64)], axis=1).ravel(), 2)[::2]
+
+
 def word_spans(text: str, shared: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hash, first word and word behind the last one of each word span, by place."""
     wide, narrow, least = reach(shared)
@@ -103,9 +125,7 @@ def word_spans(text: str, shared: int) -> tuple[np.ndarray, np.ndarray, np.ndarr
     stops = cuts[np.searchsorted(cuts, starts + least)]
     if stops[-1] < n:  # the last start reaches the end as well
         starts, stops = np.append(starts, starts[-1]), np.append(stops, n)
-    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(hashes * _powers(_BASE, n), dtype=np.uint64)))
-    found = (sums[stops] - sums[starts]) * _powers(_BACK, n)[starts]
-    return windows(np.stack([found, (stops - starts).astype(np.uint64)], axis=1).ravel(), 2)[::2], starts, stops
+    return _stretches(hashes, starts, stops), starts, stops
 
 
 def _places(found: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
@@ -122,10 +142,14 @@ def _places(found: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndar
 
 def _found(text: str, run: int, shared: int | None) -> tuple[np.ndarray, np.ndarray]:
     """Hashes and places of the spans of one text."""
-    hashes = windows(_hashes(text, sentences(text)), run)
-    at = np.arange(len(hashes))
+    bounds = sentences(text)
+    hashes = _hashes(text, bounds)
     if shared is None:
-        return hashes, at
+        hashes = windows(hashes, run)
+        return hashes, np.arange(len(hashes))
+    ends = _runs(text, bounds, run, shared)
+    at = np.arange(len(ends))
+    hashes = _stretches(hashes, at, ends) if len(ends) else np.empty(0, np.uint64)
     found, starts, stops = word_spans(text, shared)
     places = _places(found, starts, stops)
     return np.concatenate((hashes, found[places])), np.concatenate((at, _FIRST_WORDS + places))
@@ -208,9 +232,9 @@ def cut_text(
 ) -> tuple[str, int, int, str]:
     """The text without the spans at ``starts``, or without all; sentences, those that lose anything, removed stretches."""
     bounds = sentences(text)
-    if whole:
-        starts = list(range(len(bounds) - run + 1))
-    ranges = {bounds[i] for s in starts if s < _FIRST_WORDS for i in range(s, s + run)}
+    runs = _runs(text, bounds, run, shared) if whole or any(s < _FIRST_WORDS for s in starts) else []
+    chosen = range(len(runs)) if whole else [s for s in starts if s < _FIRST_WORDS]
+    ranges = {bounds[i] for s in chosen for i in range(s, runs[s])}
     if shared is not None and (whole or any(s >= _FIRST_WORDS for s in starts)):
         _, firsts, stops = word_spans(text, shared)
         at = [m.start() for m in _WORD.finditer(text)] + [len(text)]

@@ -635,6 +635,31 @@ def test_no_repeated_stretch_of_50_words_stays(spark):
     assert {r["doc_id"]: r["text"] for r in less} != {r["doc_id"]: r["text"] for r in out}
 
 
+def test_runs_reach_the_words_that_count(spark):
+    short = "Thank you. See you soon. Good bye."
+    long = " ".join(f"Sentence {k} of this passage goes on for {k} words or so." for k in range(10, 18))
+    rows = [(1, f"One text. {short}"), (2, f"Another text. {short}"), (3, f"It begins here. {long} It ends."), (4, f"Other start. {long} Other end.")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in sentence_spans.without_repeated_spans(docs, stage, shared=50).collect()}
+    assert got == {**dict(rows), 4: "Other start. Other end."}
+    counts = {1: "a b. ", 2: "c d e. ", 3: "f. ", 4: "g h i j k. "}
+    text = "".join(counts.values())
+    assert sentence_spans._runs(text, sentence_spans.sentences(text), 2, 6).tolist() == [3, 4, 4]
+    assert sentence_spans._runs(text, sentence_spans.sentences(text), 2, None).tolist() == [2, 3, 4]
+    assert sentence_spans._runs("", [], 2, 6).tolist() == []
+
+
+def test_word_form_of_awkward_rows(awkward):
+    out = sentence_spans.without_repeated_spans(awkward, stage, shared=50)
+    assert out.columns == [*awkward.columns, "_cut"] and out.count() == awkward.count()
+    kept = [(r["doc_id"], r["text"]) for r in out.select("doc_id", "text").collect()]
+    given = [(r["doc_id"], r["text"]) for r in awkward.select("doc_id", "text").collect()]
+    assert sum(t is None for _, t in kept) == sum(t is None for _, t in given)
+    few = [x for x in given if x[1] is not None and len(x[1].split()) < 21]
+    assert all(kept.count(x) >= given.count(x) for x in few)  # short texts are never cut
+    assert sentence_spans.without_repeated_spans(empty(awkward), stage, shared=50).count() == 0
+
+
 def test_equal_rows_and_repeated_words(spark):
     text, same = " ".join(f"w{i}" for i in range(120)), "ha " * 99 + "ha"
     rows = [(1, text, "x"), (1, text, "y"), (1, text, "y"), (2, same, "z"), (3, None, "z"), (3, None, "z"), (4, "few words", "z"), (4, "few words", "z")]
