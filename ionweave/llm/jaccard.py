@@ -33,10 +33,10 @@ from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
 from ionweave.llm.components import components
-from ionweave.llm.textual import shingles
+from ionweave.llm.textual import shingles, sliced
 
 FREQUENT = 1_000_000  # rows of the table of frequent shingles, at most
-OFTEN = 2  # a task reports shingles that so many of its documents have
+OFTEN = 2  # a task reports shingles that so many of its documents have, 2 at least
 FILTER_BITS = 1 << 27  # 16 MB
 FEW = 16  # nodes of a shingle that are paired at once
 BUCKET = 4_000_000  # shingles that meet in one task, about
@@ -61,10 +61,7 @@ def frequent_shingles(
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: list[np.ndarray] = []
         for batch in batches:
-            found = [shingles(t or "", size) for t in batch.column(0).to_pylist()]
-            if not any(map(len, found)):
-                continue
-            value, n = np.unique(np.concatenate(found), return_counts=True)
+            value, n = repeated([shingles(t.as_py() or "", size) for t in batch.column(0)])
             often = n >= OFTEN
             kept.append(np.stack([_signed(value[often]), n[often]]))
         if kept:
@@ -86,6 +83,15 @@ def frequent_shingles(
     return value[order], n[order]
 
 
+def repeated(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted values that more than one set has, and how many have them; ``sets`` is emptied to save its memory."""
+    value = np.concatenate([np.empty(0, np.uint64), *sets])
+    sets.clear()
+    value.sort()
+    again, n = np.unique(value[1:][value[1:] == value[:-1]], return_counts=True)  # each once less than in ``value``
+    return again, n + 1
+
+
 def prefix(found: np.ndarray, percent: int, value: np.ndarray, n: np.ndarray) -> np.ndarray:
     """The first shingles of a set in the common order, as many as a similar set cannot avoid."""
     size = len(found)
@@ -116,7 +122,7 @@ def shingled(docs: DataFrame, frequent, size: int, percent: int, id_col: str, te
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         value, n = frequent.value
         seen: set[int] = set()  # one number for each distinct set of the task
-        for batch in batches:
+        for batch in sliced(batches, 2):
             nodes, sizes, firsts, bits = [], [], [], []
             for text in batch.column(2).to_pylist():
                 found = shingles(text or "", size)
@@ -282,7 +288,7 @@ def node_sets(docs: DataFrame, wanted: DataFrame, size: int, id_col: str, text_c
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        for batch in batches:
+        for batch in sliced(batches, 1):
             batch = batch.filter(pa.array(_among(batch.column(0).to_numpy(), bitmap.value)))
             nodes, sets = [], []
             for text in batch.column(1).to_pylist():

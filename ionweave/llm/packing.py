@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ionweave.llm.textual import strings
+from ionweave.llm.textual import sliced, strings
 from ionweave.llm.tokens import encoder
 
 WINDOW = 2048
@@ -150,7 +150,7 @@ def pack_documents(
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, task = encoder(path), TaskContext.get().partitionId()
         packer, end = Packer(_numbers(0, task), window, most_open), np.array([end_id], own.dtype)
-        for batch in batches:
+        for batch in sliced(batches, 1):
             for doc_id, ids in zip(batch.column(0).to_pylist(), own.encode(strings(batch.column(1)))):
                 ids = np.concatenate((ids, end))
                 packer.add((doc_id, 0, len(ids), ids))

@@ -1,7 +1,8 @@
 """Helpers shared by the text operators: passes over whole texts, words, hashes.
 
 A pass moves the texts to Python in Arrow batches, bounded in rows and bytes by Spark's own
-settings, and never needs a second row at the same time.  Nothing here shuffles.
+settings, and never needs a second row at the same time.  By default one such batch is a whole split of a
+file, so it is worked off in slices of ``SLICE`` bytes.  Nothing here shuffles.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from pyspark.sql.types import DataType, StructField, StructType
 from xxhash import xxh3_64_intdigest
 
 WORD = r"[^\x20\x09-\x0D]+"
+SLICE = 8 << 20  # bytes of texts that are made Python objects at once, about
 _WEIGHT = np.uint64(0x9E3779B97F4A7C15)  # odd, so that no bit of a word's hash is lost
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 
@@ -51,7 +53,7 @@ def append(
     arrow = to_arrow_type(kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, len(keep)):
             texts = strings(batch.column(len(keep)))
             made = make(texts if arrow_texts else texts.to_pylist())
             if not isinstance(made, pa.Array):
@@ -62,6 +64,17 @@ def append(
     return df.select(*quoted, F.col(f"`{text_col}`").alias(text)).mapInArrow(run, schema)
 
 
+def sliced(batches: Iterator[pa.RecordBatch], at: int, most: int = SLICE) -> Iterator[pa.RecordBatch]:
+    """The same rows in order, in batches with texts of at most ``most`` bytes in column ``at``, or of one row."""
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(), dtype=np.int64)
+        first, done = 0, 0
+        while first < len(ends):
+            last = max(first + 1, int(np.searchsorted(ends, done + most, "right")))
+            yield batch.slice(first, last - first)
+            first, done = last, int(ends[last - 1])
+
+
 def strings(column: pa.Array) -> pa.Array:
     """A string array without nulls: a null text is empty."""
     return pc.fill_null(column.cast(pa.string()), "")

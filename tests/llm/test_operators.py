@@ -7,6 +7,7 @@ import sys
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql.types import LongType
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -699,3 +700,32 @@ def test_helpers(spark):
 def test_query_runs(spark, name):
     df = queries.QUERIES[name][0](spark, SF)
     assert df.count() > 0
+
+
+def test_whole_splits_are_worked_off_in_slices(spark):
+    """One Arrow batch with 40 MB of texts never becomes Python strings as a whole, and all rows stay."""
+    def batch():
+        texts = [f"{i} " + "word " * 2000 for i in range(4000)]
+        texts[1], texts[2], texts[3] = None, "", "x" * (textual.SLICE + 1)
+        return pa.RecordBatch.from_pydict({"id": range(4000), "text": texts})
+
+    whole = batch()
+    parts = list(textual.sliced(iter([whole]), 1))
+    assert pa.Table.from_batches(parts).equals(pa.Table.from_batches([whole]))
+    sizes = [sum(len(t or "") for t in p.column(1).to_pylist()) for p in parts]
+    assert all(n <= textual.SLICE or p.num_rows == 1 for n, p in zip(sizes, parts)) and len(parts) < 20
+
+    docs = spark.createDataFrame([(i, f"{i} " + "word " * 2000) for i in range(1200)], "doc_id long, text string")
+    seen = textual.append(docs.coalesce(1), "text", "n", LongType(), lambda texts: [sum(map(len, texts))] * len(texts))
+    rows = seen.select("doc_id", "n").collect()
+    assert sorted(r["doc_id"] for r in rows) == list(range(1200))
+    assert max(r["n"] for r in rows) <= textual.SLICE
+
+
+def test_repeated_shingles_are_those_of_two_sets_or_more():
+    draws = np.random.default_rng(5)
+    sets = [np.unique(draws.integers(0, 300, n).astype(np.uint64)) for n in (0, 1, 50, 200, 200)]
+    value, n = np.unique(np.concatenate(sets), return_counts=True)
+    found, times = jaccard.repeated(list(sets))
+    assert found.tolist() == value[n > 1].tolist() and times.tolist() == n[n > 1].tolist()
+    assert all(len(x) == 0 for x in jaccard.repeated([]))
