@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
 from ionweave.llm.components import components
-from ionweave.llm.textual import shingles, sliced
+from ionweave.llm.textual import lean, shingles, sliced
 
 FREQUENT = 1_000_000  # rows of the table of frequent shingles, at most
 OFTEN = 2  # a task reports shingles that so many of its documents have, 2 at least
@@ -58,6 +58,7 @@ def frequent_shingles(
     at most; only these rows get to the driver.
     """
 
+    @lean
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: list[np.ndarray] = []
         for batch in batches:
@@ -119,6 +120,7 @@ def shingled(docs: DataFrame, frequent, size: int, percent: int, id_col: str, te
     rows = _rows(docs, id_col, text_col).select("doc_id", "key", "text")
     id_type = rows.schema["doc_id"].dataType.simpleString()
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         value, n = frequent.value
         seen: set[int] = set()  # one number for each distinct set of the task
@@ -187,6 +189,7 @@ def shared_shingles(members: DataFrame) -> DataFrame:
     total = members.agg(F.sum(F.size("first"))).first()[0] or 0
     buckets = -(-total // BUCKET) * 2 + 1
 
+    @lean
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             value, n = np.unique(batch.column(0).flatten().to_numpy(), return_counts=True)
@@ -213,6 +216,7 @@ def shared_rows(members: DataFrame, frequent) -> DataFrame:
     """node, n, s, pos of the first shingles that may be shared; ``often`` if more than ``FEW`` nodes have it for sure."""
     bitmap = members.sparkSession.sparkContext.broadcast(marked(shared_shingles(members)))
 
+    @lean
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         value, count = frequent.value
         hot = np.sort(_signed(value[count > FEW]))
@@ -239,6 +243,7 @@ def paired(rows: DataFrame, percent: int) -> DataFrame:
     size, and a task holds no more than a batch and ``FEW`` rows.
     """
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, many = np.empty((0, 4), np.int64), None
         for batch in batches:
@@ -286,6 +291,7 @@ def node_sets(docs: DataFrame, wanted: DataFrame, size: int, id_col: str, text_c
     """node and sorted set of the documents whose ``key`` is in ``wanted``, and of a few others."""
     bitmap = docs.sparkSession.sparkContext.broadcast(marked(wanted))
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in sliced(batches, 1):
@@ -321,6 +327,7 @@ def _sides(pairs: DataFrame, table: DataFrame, *columns: str) -> DataFrame:
 def likely(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """The pairs ``a``, ``b`` that their bitmaps do not rule out."""
 
+    @lean
     def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = [
@@ -336,6 +343,7 @@ def likely(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs ``a``, ``b`` whose sets are similar, by exact intersection of the sorted arrays."""
 
+    @lean
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []

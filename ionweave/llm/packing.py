@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ionweave.llm.textual import sliced, strings
+from ionweave.llm.textual import lean, sliced, strings
 from ionweave.llm.tokens import encoder
 
 WINDOW = 2048
@@ -147,6 +147,7 @@ def pack_documents(
     if window < 1 or most_open < 1 or group < 2:
         raise ValueError("window and most_open must be at least 1, group at least 2")
 
+    @lean
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, task = encoder(path), TaskContext.get().partitionId()
         packer, end = Packer(_numbers(0, task), window, most_open), np.array([end_id], own.dtype)

@@ -1,5 +1,6 @@
 """Every operator against a plain version, on the smallest tables and on awkward rows."""
 
+import ctypes
 import os
 import random
 import sys
@@ -729,3 +730,32 @@ def test_repeated_shingles_are_those_of_two_sets_or_more():
     found, times = jaccard.repeated(list(sets))
     assert found.tolist() == value[n > 1].tolist() and times.tolist() == n[n > 1].tolist()
     assert all(len(x) == 0 for x in jaccard.repeated([]))
+
+
+def test_passes_give_freed_memory_back(spark, monkeypatch):
+    """A worker keeps little more after a task than what is still used, though blocks between are."""
+    rollup, trim = "/proc/self/smaps_rollup", getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if not trim or not os.path.exists(rollup):
+        pytest.skip("needs glibc and Linux")
+
+    def held():
+        with open(rollup) as f:
+            return next(int(x.split()[1]) for x in f if x.startswith("Anonymous:")) >> 10
+
+    used = []
+
+    def make(texts):
+        blocks = [np.ones(250) for _ in range(60_000)]  # 120 MB
+        used.extend(blocks[::20_000] + blocks[-1:])
+        return [len(t) for t in texts]
+
+    runs = []
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, run, schema: runs.append(run))
+    textual.append(docs, "text", "n", LongType(), make)
+    trim(0)
+    before = held()
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "text": ["a b", None], "_text": ["a b", None]})
+    out = list(runs[0](iter([batch])))
+    assert out[0].column("n").to_pylist() == [3, 0]
+    assert held() - before < 40
