@@ -9,6 +9,7 @@ one another in ascending document id; null ids come first.  Layout, little-endia
 Documents are sorted by a range shuffle; a repeated id is split by the place of its row, so one
 id with very many rows does not end up in one task.  A shard is closed when it has ``shard_ids``
 ids, and written under a temporary name first, so a task that runs again replaces its own work.
+Texts are encoded in slices; besides one of these a task holds the ids of the shard that is open.
 
 Defined results: a null or empty text has the end id alone; equal rows are separate documents;
 an empty table has no shards.
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ionweave.llm.elias_fano import EliasFano
-from ionweave.llm.textual import strings
+from ionweave.llm.textual import give_back, lean, sliced, strings
 from ionweave.llm.tokens import encoder
 
 MAGIC = b"IDSHARD1"
@@ -40,10 +41,10 @@ def pack_shard(parts: list[np.ndarray], doc_ids: list[int | None], width: int) -
     bounds = EliasFano.of(ends)
     nulls = sum(d is None for d in doc_ids)  # they come first
     names = np.array([d for d in doc_ids if d is not None], "<i8")
-    ids = np.concatenate(parts).astype(f"<u{width}") if parts else np.empty(0, f"<u{width}")
-    pieces = [ids.tobytes(), bounds.low.tobytes(), bounds.high.tobytes(), bounds.samples.astype("<u4").tobytes()]
-    head = [len(parts), len(ids), width, bounds.low_bits, nulls, *map(len, pieces), 0]
-    return b"".join([MAGIC, np.array(head, "<i8").tobytes(), *pieces, names.tobytes()])
+    ids = np.concatenate(parts).astype(f"<u{width}", copy=False) if parts else np.empty(0, f"<u{width}")
+    pieces = [ids, bounds.low, bounds.high, bounds.samples.astype("<u4")]
+    head = [len(parts), len(ids), width, bounds.low_bits, nulls, *(p.nbytes for p in pieces), 0]
+    return b"".join([MAGIC, np.array(head, "<i8"), *pieces, names])
 
 
 class Shard:
@@ -107,6 +108,7 @@ def write_token_files(
     )
     ordered = rows.repartitionByRange(n, "doc_id", "row").sortWithinPartitions("doc_id", "row")
 
+    @lean
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, parts, names, held, number = encoder(path), [], [], 0, 0
         task = TaskContext.get().partitionId()
@@ -122,7 +124,7 @@ def write_token_files(
             return done
 
         end = np.array([end_id], own.dtype)
-        for batch in batches:
+        for batch in sliced(batches, 1):
             doc_ids = batch.column(0).to_pylist()
             for doc_id, ids in zip(doc_ids, own.encode(strings(batch.column(1)))):
                 parts.append(np.concatenate((ids, end)))
@@ -130,6 +132,7 @@ def write_token_files(
                 held += len(ids) + 1
                 if held >= shard_ids:
                     yield close()
+            give_back()
         if parts:
             yield close()
 
@@ -145,6 +148,7 @@ def read_token_files(spark: SparkSession, folder: str, shards: DataFrame) -> Dat
     before = Window.orderBy("task", "number").rowsBetween(Window.unboundedPreceding, -1)
     placed = shards.select("file", F.coalesce(F.sum("ids").over(before), F.lit(0)).alias("base"))
 
+    @lean
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for file, content in zip(batch.column(0), batch.column(1)):

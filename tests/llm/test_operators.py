@@ -7,6 +7,7 @@ import sys
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql.types import LongType
 
@@ -412,6 +413,47 @@ def test_small_shards_give_the_same_rows(spark, documents):
     assert sorted(token_files.read_token_files(spark, folder, shards).collect()) == sorted(whole.collect())
 
 
+def test_token_files_encode_slices_and_give_memory_back(spark, monkeypatch, tmp_path):
+    """One Arrow batch with 24 MB of texts is encoded in slices, and little stays held after the task."""
+    rollup, trim = "/proc/self/smaps_rollup", getattr(ctypes.CDLL(None), "malloc_trim", None)
+    sizes, used = [], []
+
+    class Own:
+        width, dtype = 2, np.dtype("<u2")
+
+        def encode(self, texts):
+            sizes.append(pc.sum(pc.binary_length(texts)).as_py())
+            blocks = [np.ones(250) for _ in range(60_000)]  # 120 MB
+            used.extend(blocks[::20_000] + blocks[-1:])
+            return [np.array([i], "<u2") for i in range(len(texts))]
+
+    class Task:
+        @staticmethod
+        def get():
+            return type("Context", (), {"partitionId": lambda self: 0})()
+
+    def held():
+        with open(rollup) as f:
+            return next(int(x.split()[1]) for x in f if x.startswith("Anonymous:")) >> 10
+
+    runs = []
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, run, schema: runs.append(run))
+    monkeypatch.setattr(token_files, "encoder", lambda path: Own())
+    monkeypatch.setattr(token_files, "TaskContext", Task)
+    token_files.write_token_files(docs, f"file://{tmp_path}", WORDS)
+    batch = pa.RecordBatch.from_pydict({"doc_id": range(2400), "text": ["word " * 2000] * 2400})
+    measured = trim and os.path.exists(rollup)
+    if measured:
+        trim(0)
+        before = held()
+    out = pa.Table.from_batches(runs[0](iter([batch])))
+    assert sum(out["docs"].to_pylist()) == 2400 and sum(out["ids"].to_pylist()) == 4800
+    assert sum(sizes) == 24_000_000 and max(sizes) <= textual.SLICE
+    if measured:
+        assert held() - before < 40
+
+
 @pytest.mark.parametrize("n", [0, 1, 2, 255, 256, 257, 3000])
 def test_elias_fano(n):
     draws = np.random.default_rng(n)
