@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from functools import reduce
 
+from pyspark.errors import AnalysisException, ParseException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -72,27 +74,124 @@ def filter_edges_batched(
 ) -> DataFrame:
     """Filter edges by SQL that is run on each batch of ``batch_size`` neighbours.
 
-    ``{local_edges}`` in the SQL is one batch, with its index and a ``batch_id``.  Runs at once: the indexed
-    edges are stored in folders by batch, a job filters ``BATCHES_PER_JOB`` of them and adds its
+    ``{local_edges}`` in the SQL is one batch, with its index and a ``batch_id``.  Runs at once.  SQL that takes each edge by
+    itself but for subqueries over the batch, or windows by ``batch_id``, is one query over all batches (:func:`_batches_at_once`).
+    For other SQL the indexed edges are stored in folders by batch, and a job filters ``BATCHES_PER_JOB`` of them and adds its
     rows to the result.  Raises if the result lost the index or holds an edge twice.
     """
     indexed = with_batch_id(with_row_index(edges, order_by, name=index), batch_size, index)
-    stored = stage(indexed, "batches", by=["batch_id"])
-    last = stored.agg(F.max("batch_id")).first()[0] or 0
     spark, path = edges.sparkSession, new_path(edges.sparkSession, "filtered")
-    for start in range(0, last + 1, BATCHES_PER_JOB):
-        numbers = range(start, min(start + BATCHES_PER_JOB, last + 1))
-        parts = [query_tables(sql, local_edges=stored.where(F.col("batch_id") == i)) for i in numbers]
-        if index not in parts[0].columns:
+
+    def checked(part: DataFrame) -> DataFrame:
+        if index not in part.columns:
             raise ValueError(f"the filter dropped {index}")
-        reduce(DataFrame.union, parts).write.mode("append").parquet(path)
-    out = spark.read.schema(parts[0].schema).parquet(path)
+        return part
+
+    stored = stage(indexed, "indexed")
+    at_once = _batches_at_once(sql, stored)
+    if at_once is not None:
+        checked(at_once).write.parquet(path)
+        schema = at_once.schema
+    else:
+        stored = stage(stored, "batches", by=["batch_id"])
+        last = stored.agg(F.max("batch_id")).first()[0] or 0
+        for start in range(0, last + 1, BATCHES_PER_JOB):
+            numbers = range(start, min(start + BATCHES_PER_JOB, last + 1))
+            parts = [checked(query_tables(sql, local_edges=stored.where(F.col("batch_id") == i))) for i in numbers]
+            schema = parts[0].schema
+            reduce(DataFrame.union, parts).write.mode("append").parquet(path)
+    out = spark.read.schema(schema).parquet(path)
     twice = out.groupBy(index).count().where("count > 1").first()
     if twice:
         raise ValueError(f"the filter repeats edge {twice[index]}")
     return out
 
 
+_ROW_BY_ROW = ("Project", "Filter", "SubqueryAlias", "Window", "View")  # nodes that may stand over all batches at once
+_OWN_BATCH = "_batch_of_subquery"
+
+
+def _batches_at_once(sql: str, batches: DataFrame) -> DataFrame | None:
+    """The SQL of a batch as one query over all of ``batches``; None if that is not sure to give the same rows.
+
+    The outer query runs over the whole table.  In a subquery ``{local_edges}`` becomes the edges with the ``batch_id`` of the
+    outer row, which Spark turns into a join by batch.  The analyzed plan must show that the outer query takes row by row, with
+    windows by ``batch_id`` only, and that every subquery reads nothing but the batch of its row.
+    """
+    parts = re.split(r"(?:'\{local_edges\}'|\{local_edges\})", sql)
+    if len(parts) < 2 or re.search(r"--|/\*|\{(?!local_edges\})", sql) or _OWN_BATCH in sql:
+        return None
+    columns = ", ".join(f"`{c}`" for c in batches.columns[:-1])
+    own = f"(SELECT {columns}, {_OWN_BATCH} AS batch_id FROM {{other_edges}} WHERE {_OWN_BATCH} = batch_id)"
+    text, outer = parts[0], 0
+    for part in parts[1:]:
+        nested = _in_subquery(text)
+        outer += not nested
+        text += (own if nested else "{local_edges}") + part
+    if outer != 1:
+        return None
+    tables = {"local_edges": batches}
+    if "{other_edges}" in text:
+        tables["other_edges"] = batches.withColumnRenamed("batch_id", _OWN_BATCH)
+    try:
+        found = query_tables(text, **tables)
+    except (AnalysisException, ParseException):
+        return None
+    plan, leaf = found._jdf.queryExecution().analyzed(), batches._jdf.queryExecution().analyzed()
+    return found if _row_by_row(plan, leaf) else None
+
+
+def _in_subquery(text: str) -> bool:
+    """Does a subquery within an expression, so none of a FROM clause, stand open at the end of ``text``?"""
+    text = re.sub(r"'(?:[^'\\]|\\.)*'|\"(?:[^\"\\]|\\.)*\"|`[^`]*`", "x", text)
+    opened: list[bool] = []
+    for token in re.finditer(r"(?:(\w+)\s*)?\((?=\s*(\w*))|\)", text):
+        if token.group() == ")":
+            opened = opened[:-1]
+        else:
+            query = (token[2] or "").upper() in ("SELECT", "WITH", "FROM", "VALUES")
+            opened.append(query and (token[1] or "").upper() not in ("FROM", "JOIN"))
+    return any(opened)
+
+
+def _row_by_row(plan, leaf) -> bool:
+    """Does an analyzed plan take the rows of ``leaf`` one by one, and its subqueries only the rows of the same batch?"""
+    def nodes(of) -> list:
+        return [of.apply(i) for i in range(of.size())]
+
+    def batch(of) -> int | None:
+        ids = [x.exprId().id() for x in nodes(of.output()) if x.name() == "batch_id"]
+        return ids[0] if len(ids) == 1 else None
+
+    chain = [plan]
+    while not chain[-1].sameResult(leaf):
+        below = nodes(chain[-1].children())
+        if chain[-1].nodeName() not in _ROW_BY_ROW or len(below) != 1:
+            return False
+        chain.append(below[0])
+    own = batch(chain[-1])
+    for node in chain[:-1]:
+        if not node.deterministic():
+            return False
+        if node.nodeName() == "Window" and own not in [x.exprId().id() for x in nodes(node.partitionSpec()) if x.nodeName() == "AttributeReference"]:
+            return False
+        for query in nodes(node.subqueries()):
+            stack, filters, reads = [query], 0, 0
+            while stack:
+                x = stack.pop()
+                if x.nodeName() == "Filter":
+                    filters += bool(re.fullmatch(rf"\({_OWN_BATCH}#\d+L? = outer\(batch_id#{own}L?\)\)", x.condition().toString()))
+                below = nodes(x.children())
+                if not below:
+                    reads += 1
+                if nodes(x.subqueries()) or x.nodeName() in ("WithCTE", "CTERelationRef"):
+                    return False
+                stack += below
+            if not reads or reads != filters:
+                return False
+    return True
+
+
 def split_classes(edges: DataFrame, label: str = "Y") -> tuple[DataFrame, DataFrame]:
     """Negative and positive edges."""
     return edges.where(F.col(label) == 0), edges.where(F.col(label) == 1)

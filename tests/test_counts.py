@@ -249,6 +249,31 @@ def test_batched_filter_runs_the_sql_on_each_batch(spark, monkeypatch):
     assert filters.filter_edges_batched(edges.limit(0), sql, 5).count() == 0
 
 
+def test_batched_filter_is_one_query_over_all_batches(spark, monkeypatch):
+    """Per-batch subqueries and windows need no query per batch; other SQL still runs on each batch."""
+    edges = spark.range(60).selectExpr("id AS MS1_ClusterID", "id AS MS2_ClusterID", "IF(id % 11 = 3, NULL, id * 7 % 13) AS s")
+    calls, plain = [], filters.query_tables
+    monkeypatch.setattr(filters, "query_tables", lambda sql, **t: calls.append(sql) or plain(sql, **t))
+    value = {i: None if i % 11 == 3 else i * 7 % 13 for i in range(60)}
+    batches = [[i for i in range(60) if i // 4 == b] for b in range(15)]
+    known = [[value[i] for i in ids if value[i] is not None] for ids in batches]
+
+    def kept(sql):
+        calls.clear()
+        return sorted(r["original_idx"] for r in filters.filter_edges_batched(edges, sql, 4).collect())
+
+    le = "{local_edges}"
+    mean = [i for ids, v in zip(batches, known) for i in ids if value[i] is not None and value[i] > sum(v) / len(v)]
+    assert kept(f"SELECT * FROM {le} WHERE s > (SELECT avg(s) FROM {le})") == mean and len(calls) <= 2
+    rare = [i for ids, v in zip(batches, known) for i in ids if sum(x > 9 for x in v) == 0]
+    assert kept(f"SELECT * FROM '{le}' WHERE (SELECT count(*) FROM {le} WHERE s > 9) = 0") == rare and len(calls) <= 2
+    top = [i for ids, v in zip(batches, known) for i in ids if value[i] == max(v)]
+    assert kept(f"SELECT * FROM (SELECT *, max(s) OVER () AS top FROM {le}) WHERE s = top") == top and len(calls) > 15
+    assert kept(f"SELECT max(original_idx) AS original_idx FROM {le}") == [ids[-1] for ids in batches]
+    shared = f"WITH t AS (SELECT max(s) AS m FROM {le}) SELECT * FROM {le} WHERE s = (SELECT m FROM t)"
+    assert kept(shared) == top
+
+
 def test_filter_is_pushed_to_the_scan(spark, plan, tmp_path):
     path = f"file:{tmp_path}/t"
     spark.range(100).selectExpr("id", "id / 1000 AS q", "'P' AS protein_list", "id AS unused").write.parquet(path)
