@@ -6,7 +6,7 @@ from hypothesis import strategies as st
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from ionweave.operators import joins, matching
+from ionweave.operators import joins, matching, refinement
 from ionweave.operators.refinement import filter_search_results, refine_edges, spectrum_lines
 
 
@@ -276,3 +276,60 @@ def test_presence_in_many_tables(spark):
     tables = {f"t{i}": spark.createDataFrame([(i,), (1000,)], "k long") for i in range(130)}
     found = {r["k"]: [i for i in range(130) if r[f"t{i}"]] for r in presence(tables, ["k"]).collect()}
     assert found == {i: [i] for i in range(130)} | {1000: list(range(130))}
+
+
+def test_flags_of_edges_with_hot_null_and_repeated_keys(spark, plan):
+    """One pass in packed pieces, whatever the spread; before, all edges went through two joins."""
+    rng = np.random.default_rng(5)
+    pairs = [(int(rng.integers(0, 40)), 7 if i % 3 == 0 else int(rng.integers(0, 30))) for i in range(600)]
+    pairs += [(None, 7), (3, None), (None, None), (3, 29), (3, 29)]
+    edges = spark.createDataFrame([(a, b, str(i)) for i, (a, b) in enumerate(pairs)], "MS1_ClusterID long, MS2_ClusterID long, note string")
+    chosen = [(a, 7) for a in range(0, 40, 9)] + [(3, 29), (3, 29), (999, 4), (None, 5), (None, None)]
+    found = spark.createDataFrame(chosen, "MS1_ClusterID long, MS2_ClusterID long")
+    known = {p for p in chosen if None not in p}
+    explained = {b for _, b in known}
+    want = sorted((str(i), p in known, p in known or p[1] not in explained) for i, p in enumerate(pairs))
+    for limit in (10**9, 20):
+        out = refinement.flag_edges(edges, found, rows_per_task=limit)
+        assert out.columns == [*edges.columns, "is_found", "is_kept"]
+        assert sorted(map(tuple, out.select("note", "is_found", "is_kept").collect())) == want
+    assert "Join" not in plan(refinement.flag_edges(edges, found))
+
+
+@pytest.mark.parametrize("limit", [10**9, 30])
+def test_map_back_sorts_fragments_only(spark, monkeypatch, limit):
+    """Windows are looked up; before, both ends of every window were sorted with the fragments.  Repeats count as they did."""
+    rng = np.random.default_rng(6)
+    psms = pd.DataFrame({"psm_id": np.arange(60), "MS1_ClusterID": np.where(np.arange(60) % 3 == 0, 1, np.arange(60) % 11)})
+    frags = pd.DataFrame({"psm_id": rng.integers(0, 80, 300), "n": np.arange(300), "mz": rng.integers(90, 400, 300).astype(float)})
+    nodes = pd.DataFrame({"ClusterID": np.arange(50), "mz_wmean": rng.integers(80, 420, 50).astype(float)})
+    nodes.loc[0, "mz_wmean"], nodes.loc[1, "mz_wmean"] = -5.0, 0.0
+    edges = pd.DataFrame({"MS1_ClusterID": rng.integers(0, 14, 400), "MS2_ClusterID": np.where(np.arange(400) % 3 == 0, 9, rng.integers(0, 55, 400))})
+    sorted_rows, plain = [], matching.slices
+    monkeypatch.setattr(matching, "slices", lambda df, *a, **k: sorted_rows.append(df.count()) or plain(df, *a, **k))
+    out = matching.map_back(
+        spark.createDataFrame(psms), spark.createDataFrame(frags), spark.createDataFrame(nodes), spark.createDataFrame(edges), 0.02, ["n"],
+        fragment_mz="mz", rows_per_task=limit,
+    )
+    owned = frags.merge(psms, on="psm_id")
+    assert sorted_rows == [len(owned)]
+    met = edges.drop_duplicates().merge(nodes, left_on="MS2_ClusterID", right_on="ClusterID").merge(owned, on="MS1_ClusterID")
+    met = met[(met.mz >= met.mz_wmean - met.mz_wmean * 0.02) & (met.mz <= met.mz_wmean + met.mz_wmean * 0.02)]
+    want = met.groupby(["MS1_ClusterID", "MS2_ClusterID"]).mz.agg(["size", "sum"]).reset_index()
+    assert rows(out["edges"]) == sorted(((int(a), int(b), int(n), s / n) for a, b, n, s in want.values.tolist()), key=str)
+    assert out["fragments"].count() == met.n.nunique() and out["precursors"].count() == met.psm_id.nunique()
+
+
+def test_sweep_over_few_rows(spark):
+    """No points, no ranges, text keys, NaN, infinite ends, and ranges over many slices."""
+    empty = matching.sweep(spark.createDataFrame([], "g long, p long, value double"), spark.createDataFrame([(1, 1, 0.0, 1.0)], "g long, r long, lo double, hi double"), "g", ["p"], ["r"])
+    assert rows(empty[0]) == [(1, 1, 0, 0.0)] and empty[1].count() == 0
+    pts = [("a", i, float(i)) for i in range(40)] + [("b", 90, float("nan")), ("b", 91, 2.0), ("b", 92, float("inf")), (None, 93, 1.0)]
+    rgs = [("a", 0, -1.0, 100.0), ("a", 1, 3.0, 30.0), ("a", 2, 50.0, 60.0), ("b", 3, 1.0, float("inf")), ("b", 4, 0.0, float("nan")), ("b", 5, 2.0, 2.0), ("c", 6, 0.0, 9.0), ("a", 7, 9.0, 8.0)]
+    by_range, by_point = matching.sweep(
+        spark.createDataFrame(pts, "g string, p long, value double"), spark.createDataFrame(rgs, "g string, r long, lo double, hi double"), "g", ["p"], ["r"]
+    )
+    got = {r["r"]: (r["n_points"], str(r["sum_points"])) for r in by_range.collect()}
+    assert got == {0: (40, "780.0"), 1: (28, "462.0"), 2: (0, "0.0"), 3: (2, "nan"), 4: (3, "nan"), 5: (1, "2.0"), 6: (0, "0.0")}
+    inside = {r["p"]: r["n_ranges"] for r in by_point.collect()}
+    assert inside == {i: 1 + (3 <= i <= 30) for i in range(40)} | {90: 1, 91: 3, 92: 2}
